@@ -7,36 +7,27 @@ from pyspark.sql import functions as F
 IGNORED = -100
 
 
-def running_sum(values: Column, block: int = 256) -> Column:
-    """Prefix sums of an integer array.
+def running_lengths(pieces: Column, block: int = 256) -> Column:
+    """Where each text ends when all of them stand one behind the other.
 
-    Sums run inside blocks first and over the block totals second, so a very long
-    array does not cost the square of its length.
+    Sums are listed block by block, so a very long array does not cost the square of
+    its length.
     """
-    size = F.size(values)
-    starts = F.when(size > 0, F.sequence(F.lit(1), size, F.lit(block))).otherwise(F.array().cast("array<int>"))
-    blocks = F.transform(starts, lambda start: _plain_sums(F.slice(values, start, F.lit(block))))
-    ends = _plain_sums(F.transform(blocks, lambda sums: F.element_at(sums, -1)))
-    return F.flatten(
-        F.transform(
-            blocks,
-            lambda sums, i: F.transform(
-                sums, lambda value: value + F.when(i > 0, F.get(ends, i - 1)).otherwise(F.lit(0).cast("bigint"))
-            ),
+
+    def last_of(values):
+        return F.try_element_at(values, F.lit(-1))
+
+    def append_block(blocks, start):
+        before = F.coalesce(last_of(last_of(blocks)), F.lit(0))
+        sums = F.aggregate(
+            F.slice(pieces, start, F.lit(block)),
+            F.array().cast("array<bigint>"),
+            lambda ends, piece: F.concat(ends, F.array(F.coalesce(last_of(ends), before) + F.length(piece))),
         )
-    )
-
-
-def _plain_sums(values: Column) -> Column:
-    empty = F.array().cast("array<bigint>")
-    return F.aggregate(
-        values,
-        empty,
-        lambda sums, value: F.concat(
-            sums,
-            F.array((F.coalesce(F.try_element_at(sums, F.lit(-1)), F.lit(0)) + value).cast("bigint")),
-        ),
-    )
+        return F.concat(blocks, F.array(sums))
+
+    starts = F.sequence(F.lit(1), F.greatest(F.size(pieces), F.lit(1)), F.lit(block))
+    return F.flatten(F.aggregate(starts, F.array().cast("array<array<bigint>>"), append_block))
 
 
 def truncate(ids: Column, length: int) -> Column:

@@ -18,16 +18,21 @@ MASK = "____"
 WORD = r"[\p{L}\p{N}_]"
 WORD_START = f"(?<!{WORD})"
 WORD_END = f"(?!{WORD})"
-WORD_EDGE = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 
-_CSHARP_LEAD = f"(?:{CSHARP_ACCESS})?{WS}*(?:{CSHARP_MODIFIER})?{WS}*"
+_CSHARP_MODIFIERS = f"(?:{CSHARP_MODIFIER})?{WS}*"
+_CSHARP_LEAD = f"(?:{CSHARP_ACCESS})?{WS}*{_CSHARP_MODIFIERS}"
 
-# Where a declaration starts, searched in a whole file. The cheap look-ahead on the
-# first character spares most positions the boundary test.
+# Where a declaration starts, searched in a whole file. A look-ahead on the first
+# character spares most positions the costlier boundary test. A C# declaration starts
+# at any word boundary: at the first letter of a word, or already at the white space
+# behind a word.
 DECLARATION = {
     "python": rf"(?md)^class{WS}+{NAME}",
     "java": f"(?=[cie]){WORD_START}(?:{JAVA_KEYWORDS}){WS}+{NAME}{WORD_END}",
-    "csharp": f"(?=[aceiprs]|{WS}){WORD_EDGE}{_CSHARP_LEAD}(?:{CSHARP_KEYWORDS}){WS}+{NAME}{WORD_END}",
+    "csharp": (
+        f"(?:(?=[aceiprs]){WORD_START}{_CSHARP_LEAD}|(?={WS})(?<={WORD}){WS}++{_CSHARP_MODIFIERS})"
+        f"(?:{CSHARP_KEYWORDS}){WS}+{NAME}{WORD_END}"
+    ),
 }
 
 # The declaration at the very start of a snippet; group 1 is the declared name.

@@ -10,8 +10,8 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-NOT_WS = "[^" + WS[1:]
+WS = r"[\p{IsWhite_Space}\x1c-\x1f]"
+NOT_WS = r"[^\p{IsWhite_Space}\x1c-\x1f]"
 
 # File ending of each supported language.
 EXTENSIONS = {"python": ".py", "java": ".java", "csharp": ".cs"}

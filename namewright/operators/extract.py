@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import running_sum
+from ..functions.arrays import running_lengths
 from ..functions.declarations import DECLARATION, by_language, mask_snippet, snippet_name
 from ..functions.text import LANGUAGES, count_lines, normalize_source
 
@@ -39,13 +39,11 @@ def extract_declarations(files: DataFrame) -> DataFrame:
     Offsets count code points, the end is exclusive. Other languages give no rows.
     """
     kept = [name for name in files.columns if name != "content"]
-    pieces = (
-        files.filter(F.col("language").isin(*LANGUAGES))
-        .select(*kept, split_at_declarations(F.col("content"), F.col("language")).alias("pieces"))
-        .filter(F.size("pieces") > 1)
+    pieces = files.filter(F.col("language").isin(*LANGUAGES)).select(
+        *kept, split_at_declarations(F.col("content"), F.col("language")).alias("pieces")
     )
-    ends = running_sum(F.transform("pieces", lambda piece: F.length(piece)))
-    exploded = pieces.select(*kept, F.posexplode(F.arrays_zip("pieces", ends.alias("ends"))).alias("place", "piece"))
+    ends = running_lengths(F.col("pieces")).alias("ends")
+    exploded = pieces.select(*kept, F.posexplode(F.arrays_zip("pieces", ends)).alias("place", "piece"))
     return (
         exploded.filter(F.col("place") > 0)
         .select(
