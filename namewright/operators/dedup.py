@@ -7,17 +7,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def first_of_copies(rows: DataFrame, key: str, order, within=("language",)) -> DataFrame:
+def first_of_copies(rows: DataFrame, key: str, order, within=("language",), carry=()) -> DataFrame:
     """One narrow row per group and key, with the order columns of its first copy.
 
     Copies are reduced on the map side, so a key that fills a third of the table
-    reaches the shuffle once per task.
+    reaches the shuffle once per task. Small columns to ``carry`` along follow the
+    unique order in the minimum, where they cannot change it.
     """
-    order = list(order)
-    smallest = F.min(F.col(order[0]) if len(order) == 1 else F.struct(*order)).alias("_first")
+    columns = [*order, *carry]
+    smallest = F.min(F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)).alias("_first")
     first = rows.groupBy(*within, key).agg(smallest)
-    if len(order) == 1:
-        return first.withColumnRenamed("_first", order[0])
+    if len(columns) == 1:
+        return first.withColumnRenamed("_first", columns[0])
     return first.select(*within, key, "_first.*")
 
 

@@ -9,6 +9,11 @@ def seeded_hash(key: Column, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
 
 
+def _with_bucket(rows: DataFrame, key: str, seed: int, digits: int) -> DataFrame:
+    """Add the row's hash and the bucket its leading hex digits name."""
+    return rows.withColumn("_hash", seeded_hash(F.col(key), seed)).withColumn("_bucket", F.left("_hash", F.lit(digits)))
+
+
 def _bucket_offsets(keyed: DataFrame, groups) -> DataFrame:
     """Rows per bucket, rows before the bucket, and rows of the whole group."""
     per_group = Window.partitionBy(*groups)
@@ -43,11 +48,7 @@ def seeded_rank(rows: DataFrame, key: str, seed: int = 42, digits: int = 3) -> D
     The leading hex digits of the hash form even buckets: 16**digits counts are all
     that is summed up and broadcast, and each bucket is numbered on its own.
     """
-    keyed = (
-        rows.withColumn("_all", F.lit(0))
-        .withColumn("_hash", seeded_hash(F.col(key), seed))
-        .withColumn("_bucket", F.left("_hash", F.lit(digits)))
-    )
+    keyed = _with_bucket(rows, key, seed, digits).withColumn("_all", F.length("_hash"))
     return _bucketed_rank(keyed, ["_all"], "_hash", bounded=True).drop("_hash", "_all")
 
 
@@ -80,11 +81,13 @@ def assign_split(
     are looked up: bucket counts find the bucket each cut falls into, those buckets
     alone are numbered, and every row is compared with the two cut hashes. So no row
     is shuffled but the few in the cut buckets. ``within`` must be columns of few
-    values, such as the language: the cuts are one broadcast row per group.
+    values, such as the language: the cuts are one broadcast row per group. ``rows``
+    is read three times, so it should be a narrow stored table.
     """
     groups = list(within) or ["_all"]
-    keyed = rows if within else rows.withColumn("_all", F.lit(0))
-    keyed = keyed.withColumn("_hash", seeded_hash(F.col(key), seed)).withColumn("_bucket", F.left("_hash", F.lit(digits)))
+    keyed = _with_bucket(rows, key, seed, digits)
+    if not within:
+        keyed = keyed.withColumn("_all", F.length("_hash"))  # one group: all hashes are as long
     n_train = F.floor(F.col("_total") * F.lit(train).cast("double"))
     n_valid = F.floor(F.col("_total") * F.lit(valid).cast("double"))
     offsets = (

@@ -10,21 +10,27 @@ from ..operators.ranking import assign_split
 from ..session import stage
 from ..sources.examples import write_examples
 
-_NARROW = ["language", "dedup_key", *EXAMPLE_ORDER]
-
-
 def split_of_first(
-    examples: DataFrame, train: float = 0.8, valid: float = 0.1, seed: int = 42
+    examples: DataFrame, train: float = 0.8, valid: float = 0.1, seed: int = 42, carry=()
 ) -> DataFrame:
-    """The narrow row of each first copy with its split; no text is moved."""
-    first = first_of_copies(examples.select(*_NARROW), "dedup_key", EXAMPLE_ORDER)
-    return assign_split(first, "dedup_key", train, valid, seed)
+    """The narrow row of each first copy with its split; no text is moved.
+
+    The first copies are staged, so the examples are read only once for them.
+    """
+    first = first_of_copies(examples, "dedup_key", EXAMPLE_ORDER, carry=carry)
+    return assign_split(stage(first, "first"), "dedup_key", train, valid, seed)
+
+
+def unique_examples(examples: DataFrame) -> DataFrame:
+    """The first copy of each example, as a whole row."""
+    return keep_first(stage(examples, "examples"), "dedup_key", EXAMPLE_ORDER)
 
 
 def split_examples(examples: DataFrame, train: float = 0.8, valid: float = 0.1, seed: int = 42) -> DataFrame:
     """De-duplicate and split in one join of the full rows, the only shuffle of text."""
-    chosen = split_of_first(examples, train, valid, seed)
-    return join_first(examples, chosen, "dedup_key", EXAMPLE_ORDER, how="inner")
+    staged = stage(examples, "examples")
+    chosen = split_of_first(staged, train, valid, seed)
+    return join_first(staged, chosen, "dedup_key", EXAMPLE_ORDER, how="inner")
 
 
 def build_dataset(

@@ -9,7 +9,7 @@ from ..operators import batches, classification, examples as rows_of, extract, g
 from ..operators import ranking, runs, scoring, views
 from ..operators.dedup import first_of_copies
 from ..operators.inference import encode_batch, predict_batch
-from ..session import shared_folder
+from ..session import shared_folder, stage
 from ..sources import examples as example_files
 from ..sources import logs
 from ..sources.files import scan_sources
@@ -36,7 +36,8 @@ def _examples(spark: SparkSession, sf_dir: str, mask: bool = True) -> DataFrame:
 
 
 def _splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build.split_examples(_examples(spark, sf_dir))
+    """Split examples without their text."""
+    return build.split_of_first(_examples(spark, sf_dir), carry=("repo", "target"))
 
 
 # Extraction
@@ -116,8 +117,7 @@ def _prompt(render):
 
 
 def dedup_examples(spark, sf_dir):
-    found = _examples(spark, sf_dir)
-    kept = build.keep_first(found, "dedup_key", extract.EXAMPLE_ORDER)
+    kept = build.unique_examples(_examples(spark, sf_dir))
     return kept.select("language", "repo", "path", "span_start", "target", "source")
 
 
@@ -132,12 +132,12 @@ def dedup_documents(spark, sf_dir):
 
 
 def split_documents(spark, sf_dir):
-    split = ranking.assign_split(_first_documents(spark, sf_dir), "dedup_key", within=())
+    split = ranking.assign_split(stage(_first_documents(spark, sf_dir), "first"), "dedup_key", within=())
     return split.select("doc_id", "split")
 
 
 def seeded_order(spark, sf_dir):
-    ranked = ranking.seeded_rank(_first_documents(spark, sf_dir), "dedup_key")
+    ranked = ranking.seeded_rank(stage(_first_documents(spark, sf_dir), "first"), "dedup_key")
     return ranking.with_batch(ranked, 16).select("doc_id", F.col("rank").cast("bigint").alias("rank"), "batch_id")
 
 
@@ -187,6 +187,7 @@ def build_accounting(spark, sf_dir):
 
 def language_accounting(spark, sf_dir):
     found = _examples(spark, sf_dir).select("language", "dedup_key", *extract.EXAMPLE_ORDER)
+    found = stage(found, "found")
     first = first_of_copies(found, "dedup_key", extract.EXAMPLE_ORDER)
     return profile.language_accounts(found, first)
 
@@ -518,7 +519,7 @@ def log_selection(spark, sf_dir):
 
 def examples_roundtrip(spark, sf_dir):
     folder = shared_folder(spark, "examples")
-    rows = extract.to_example_rows(_splits(spark, sf_dir), "split")
+    rows = extract.to_example_rows(build.split_examples(_examples(spark, sf_dir)), "split")
     example_files.write_examples(rows, folder)
     back = example_files.read_splits(spark, folder, ("train", "valid", "test"))
     return back.select(
@@ -529,7 +530,8 @@ def examples_roundtrip(spark, sf_dir):
 
 def test_split_scan(spark, sf_dir):
     folder = shared_folder(spark, "examples")
-    example_files.write_examples(extract.to_example_rows(_splits(spark, sf_dir), "split"), folder)
+    rows = extract.to_example_rows(build.split_examples(_examples(spark, sf_dir)), "split")
+    example_files.write_examples(rows, folder)
     return example_files.read_examples(spark, folder, split="test").select("language", "repo", "path", "target")
 
 
@@ -546,7 +548,7 @@ def tolerant_scan(spark, sf_dir):
 
 
 def export_import_splits(spark, sf_dir):
-    split = ranking.assign_split(_first_documents(spark, sf_dir), "dedup_key", within=())
+    split = ranking.assign_split(stage(_first_documents(spark, sf_dir), "first"), "dedup_key", within=())
     rows = split.select(F.lit("text").alias("language"), "doc_id", "split")
     first, second = shared_folder(spark, "published"), shared_folder(spark, "local")
     example_files.export_splits(rows, first)
