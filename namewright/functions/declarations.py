@@ -19,8 +19,9 @@ WORD = r"[\p{L}\p{N}_]"
 WORD_START = f"(?<!{WORD})"
 WORD_END = f"(?!{WORD})"
 
-_CSHARP_MODIFIERS = f"(?:{CSHARP_MODIFIER})?{WS}*"
-_CSHARP_LEAD = f"(?:{CSHARP_ACCESS})?{WS}*{_CSHARP_MODIFIERS}"
+_CSHARP_LEAD = f"(?:{CSHARP_ACCESS})?{WS}*(?:{CSHARP_MODIFIER})?{WS}*"
+_ACCESS_PART = f"(?:(?:{CSHARP_ACCESS}){WS}*+)?"
+_MODIFIER_PART = f"(?:(?:{CSHARP_MODIFIER}){WS}*+)?"
 
 # Where a declaration starts, searched in a whole file. A look-ahead on the first
 # character spares most positions the costlier boundary test. A C# declaration starts
@@ -30,7 +31,7 @@ DECLARATION = {
     "python": rf"(?md)^class{WS}+{NAME}",
     "java": f"(?=[cie]){WORD_START}(?:{JAVA_KEYWORDS}){WS}+{NAME}{WORD_END}",
     "csharp": (
-        f"(?:(?=[aceiprs]){WORD_START}{_CSHARP_LEAD}|(?={WS})(?<={WORD}){WS}++{_CSHARP_MODIFIERS})"
+        f"(?:(?=[aceiprs]){WORD_START}{_ACCESS_PART}|(?={WS})(?<={WORD}){WS}++){_MODIFIER_PART}"
         f"(?:{CSHARP_KEYWORDS}){WS}+{NAME}{WORD_END}"
     ),
 }

@@ -44,15 +44,13 @@ def extract_declarations(files: DataFrame) -> DataFrame:
     )
     ends = running_lengths(F.col("pieces")).alias("ends")
     exploded = pieces.select(*kept, F.posexplode(F.arrays_zip("pieces", ends)).alias("place", "piece"))
-    return (
-        exploded.filter(F.col("place") > 0)
-        .select(
-            *kept,
-            (F.col("piece.ends") - F.length("piece.pieces")).alias("span_start"),
-            F.col("piece.ends").alias("span_end"),
-            F.col("piece.pieces").alias("snippet"),
-        )
-        .withColumn("target", snippet_name(F.col("snippet"), F.col("language")))
+    snippet, end = F.col("piece.pieces"), F.col("piece.ends")
+    return exploded.filter(F.col("place") > 0).select(
+        *kept,
+        (end - F.length(snippet)).alias("span_start"),
+        end.alias("span_end"),
+        snippet.alias("snippet"),
+        snippet_name(snippet, F.col("language")).alias("target"),
     )
 
 
@@ -75,11 +73,10 @@ def extract_examples(files: DataFrame, mask: bool = True, min_lines: int = 3) ->
         source = mask_snippet(F.col("snippet"), F.col("target"), F.col("language"))
     else:
         source = F.col("snippet")
-    return (
-        found.withColumn("source", source)
-        .withColumn("sample_id", sample_id(F.col("language"), F.col("repo"), F.col("path"), F.col("span_start")))
-        .withColumn("dedup_key", F.sha2(normalize_source(F.col("source")), 256))
-        .drop("snippet")
+    kept = [name for name in found.columns if name != "snippet"]
+    place = [F.col(name) for name in ("language", "repo", "path", "span_start")]
+    return found.select(*kept, source.alias("source"), sample_id(*place).alias("sample_id")).withColumn(
+        "dedup_key", F.sha2(normalize_source(F.col("source")), 256)
     )
 
 
