@@ -341,24 +341,23 @@ def first_samples(spark, sf_dir):
     return rows_of.first_samples(tables.gold(tables.documents(spark, sf_dir)), 100, ["sample_id"])
 
 
-def _guess_factory():
-    """A stand-in for a model: it answers from the prompt alone and fails on short ones."""
-
-    def predict(asked):
-        answers = []
-        for prompt in asked:
-            lines = prompt.split("\n")
-            answers.append(["Name: " + lines[2].strip(" ").split(" ")[0], str(len(prompt))])
-        return answers
+def batch_inference(spark, sf_dir):
+    """A stand-in for a model answers from the prompt alone."""
 
-    return predict
+    def make_predict():
+        def predict(asked):
+            answers = []
+            for prompt in asked:
+                lines = prompt.split("\n")
+                answers.append(["Name: " + lines[2].strip(" ").split(" ")[0], str(len(prompt))])
+            return answers
 
+        return predict
 
-def batch_inference(spark, sf_dir):
     found = _examples(spark, sf_dir)
-    asked = predict_batch(found, prompts.render_prompt(F.col("source"), "seq2seq"), _guess_factory, k=2)
-    cleaned = F.transform("predictions", prompts.completion_identifier)
-    named = generations.attach_predictions(generations.unique_predictions(asked.withColumn("predictions", cleaned), 2, True))
+    asked = predict_batch(found, prompts.render_prompt(F.col("source"), "seq2seq"), make_predict, k=2)
+    cleaned = asked.withColumn("predictions", F.transform("predictions", prompts.completion_identifier))
+    named = generations.attach_predictions(generations.unique_predictions(cleaned, 2, drop_empty=True))
     return named.select("path", "span_start", "target", "predicted_name", "correct")
 
 

@@ -56,8 +56,11 @@ def keep_latest(aggregate: DataFrame, path: str, checkpoint: str):
     """Write the whole result of a running aggregate anew after each batch.
 
     Each batch has its own folder, so a batch that is run again after a failure
-    replaces its own output only; ``read_latest`` takes the newest.
+    replaces its own output only; ``read_latest`` takes the newest. An empty result
+    stands there before any data has come.
     """
+    empty = aggregate.sparkSession.createDataFrame([], aggregate.schema)
+    empty.write.mode("ignore").parquet(f"{path}/batch=-1")
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
