@@ -7,17 +7,19 @@ from ..functions.arrays import IGNORED, attention_mask, correct_tokens, counted_
 from .ranking import seeded_rank, with_batch
 
 
-def causal_labels(encoded: DataFrame, max_length: int) -> DataFrame:
-    """Truncate ``input_ids`` and derive ``labels`` that ignore the prompt.
+def causal_labels(encoded: DataFrame, max_length: int | None = None) -> DataFrame:
+    """Derive ``labels`` that ignore the prompt, from ids truncated if a length is given.
 
     The prompt is truncated by the same length before it is measured.
     """
-    prompt_len = F.least(F.col("prompt_len"), F.lit(max_length)).cast("int")
-    return (
-        encoded.withColumn("input_ids", truncate(F.col("input_ids"), max_length))
-        .withColumn("prompt_len", prompt_len)
-        .withColumn("labels", mask_prompt(F.col("input_ids"), F.col("prompt_len")))
-    )
+    if max_length is not None:
+        encoded = encoded.withColumns(
+            {
+                "input_ids": truncate(F.col("input_ids"), max_length),
+                "prompt_len": F.least(F.col("prompt_len"), F.lit(max_length)).cast("int"),
+            }
+        )
+    return encoded.withColumn("labels", mask_prompt(F.col("input_ids"), F.col("prompt_len")))
 
 
 def seq2seq_pair(encoded: DataFrame, max_source: int = 1024, max_target: int = 32) -> DataFrame:

@@ -1,11 +1,10 @@
 """Keep the first of equal rows without moving the text for it."""
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import join_on
+
 
 def first_of_copies(rows: DataFrame, key: str, order, within=("language",), carry=()) -> DataFrame:
     """One narrow row per group and key, with the order columns of its first copy.
@@ -28,10 +27,7 @@ def join_first(rows: DataFrame, first: DataFrame, key: str, order, within=("lang
     The order columns make every row's join key its own, so copies spread evenly.
     Missing values match each other, so no row is lost for a missing group or order.
     """
-    names = [*within, key, *order]
-    narrow = first.withColumnsRenamed({name: f"_first_{name}" for name in names})
-    same = reduce(and_, [rows[name].eqNullSafe(narrow[f"_first_{name}"]) for name in names])
-    return rows.join(narrow, same, how).drop(*[f"_first_{name}" for name in names])
+    return join_on(rows, first, [*within, key, *order], how)
 
 
 def keep_first(rows: DataFrame, key: str, order, within=("language",)) -> DataFrame:

@@ -7,9 +7,14 @@ from ..functions.arrays import ordered_distinct
 from .scoring import share
 
 
-def rank_beams(beams: DataFrame, key: str = "sample_id", order: str = "beam") -> DataFrame:
-    """Number the beams of each sample from 1."""
-    return beams.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(order)))
+def rank_beams(beams: DataFrame, k: int, key: str = "sample_id", order: str = "beam") -> DataFrame:
+    """Number the first ``k`` beams of each sample from 1; no later one is ever used.
+
+    Spark applies the limit before the shuffle, so a sample with very many rows
+    sends at most ``k`` per task.
+    """
+    ranked = beams.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(order)))
+    return ranked.filter(F.col("rank") <= k)
 
 
 def group_beams(beams: DataFrame, k: int, key: str = "sample_id", rank: str = "beam", text: str = "text") -> DataFrame:

@@ -3,10 +3,15 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_on
+
+# Columns whose number of different values is fixed by the extraction itself.
+FEW_VALUED = {"language"}
+
 
 def seeded_hash(key: Column, seed: int = 42) -> Column:
     """The sort key of a seeded shuffle: same seed and key, same place."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
 def _with_bucket(rows: DataFrame, key: str, seed: int, digits: int) -> DataFrame:
@@ -33,10 +38,9 @@ def _bucketed_rank(keyed: DataFrame, groups, order: str, bounded: bool) -> DataF
     ``bounded`` says that there are so few buckets that their counts may be broadcast.
     """
     offsets = _bucket_offsets(keyed, groups).select(*groups, "_bucket", "_before")
-    offsets = F.broadcast(offsets) if bounded else offsets
     in_bucket = Window.partitionBy(*groups, "_bucket").orderBy(order)
     return (
-        keyed.join(offsets, [*groups, "_bucket"])
+        join_on(keyed, offsets, [*groups, "_bucket"], small=bounded)
         .withColumn("rank", F.col("_before") + F.row_number().over(in_bucket))
         .drop("_before", "_bucket")
     )
@@ -80,11 +84,12 @@ def assign_split(
     Keys must be unique in their group. Only the two cut points of the seeded order
     are looked up: bucket counts find the bucket each cut falls into, those buckets
     alone are numbered, and every row is compared with the two cut hashes. So no row
-    is shuffled but the few in the cut buckets. ``within`` must be columns of few
-    values, such as the language: the cuts are one broadcast row per group. ``rows``
-    is read three times, so it should be a narrow stored table.
+    is shuffled but the few in the cut buckets. The cuts, one row per group, are
+    broadcast if the groups are of a fixed number; else Spark decides by their size.
+    ``rows`` is read three times, so it should be a narrow stored table.
     """
     groups = list(within) or ["_all"]
+    few = set(within) <= FEW_VALUED
     keyed = _with_bucket(rows, key, seed, digits)
     if not within:
         keyed = keyed.withColumn("_all", F.length("_hash"))  # one group: all hashes are as long
@@ -98,11 +103,10 @@ def assign_split(
     edges = offsets.filter(
         F.col("_cut_train").between(1, F.col("_count")) | F.col("_cut_valid").between(1, F.col("_count"))
     ).select(*groups, "_bucket", "_cut_train", "_cut_valid")
-    numbered = (
-        keyed.select(*groups, "_bucket", "_hash")
-        .join(F.broadcast(edges), [*groups, "_bucket"])
-        .withColumn("_row", F.row_number().over(Window.partitionBy(*groups, "_bucket").orderBy("_hash")))
-    )
+    in_bucket = Window.partitionBy(*groups, "_bucket").orderBy("_hash")
+    numbered = join_on(
+        keyed.select(*groups, "_bucket", "_hash"), edges, [*groups, "_bucket"], small=few
+    ).withColumn("_row", F.row_number().over(in_bucket))
     cuts = numbered.groupBy(*groups).agg(
         F.max(F.when(F.col("_row") == F.col("_cut_train"), F.col("_hash"))).alias("_last_train"),
         F.max(F.when(F.col("_row") == F.col("_cut_valid"), F.col("_hash"))).alias("_last_valid"),
@@ -113,7 +117,7 @@ def assign_split(
         .otherwise("test")
     )
     return (
-        keyed.join(F.broadcast(cuts), groups, "left")
+        join_on(keyed, cuts, groups, "left", small=few)
         .withColumn("split", split)
         .drop("_hash", "_bucket", "_last_train", "_last_valid", "_all")
     )

@@ -137,15 +137,17 @@ UNIQUE = (
  firsts as (select sample_id, text, min(beam) as beam from cleaned group by 1, 2)"""
 )
 
-TOKENS = """tokens as (
-  select doc_id as sample_id, list_transform(string_split(text, ' '), lambda w: length(w))[1:512] as input_ids,
-    least(case when doc_id % 7 = 0 then len(string_split(text, ' ')) + 1 else doc_id % 10 end, 512) as prompt_len
-  from documents),
+_TOKEN_VIEWS = """tokens as (
+  select doc_id as sample_id, {0} as input_ids, {1} as prompt_len
+  from (select doc_id, list_transform(string_split(text, ' '), lambda w: length(w)) as ids,
+    case when doc_id % 7 = 0 then len(string_split(text, ' ')) + 1 else doc_id % 10 end as prompt from documents)),
  labelled as (
   select *, case when prompt_len < len(input_ids)
     then list_transform(input_ids, lambda x, i: case when i <= prompt_len then -100 else x end)
     else input_ids end as labels
   from tokens)"""
+TOKENS = _TOKEN_VIEWS.format("ids", "prompt")
+SHORT_TOKENS = _TOKEN_VIEWS.format("ids[1:512]", "least(prompt, 512)")
 
 TRAINING_LOG = """training_log as (
   select 'run' || cast(user_id % 3 as varchar) as run, event_id as step,
@@ -246,7 +248,7 @@ from (select page_id, string_split(regexp_replace(rtrim(url, '/'), '\.git$', '')
   case doc_id % 4 when 0 then 'python' when 1 then 'java' when 2 then 'csharp' end as language from documents""",
     "clean_examples": """select doc_id, text as source, (case when doc_id % 3 = 0 then 'N' else 'L' end) || doc_id as target,
   'unknown' as language, case when doc_id % 2 = 0 then source else 'unknown' end as repo
-from documents where doc_id % 5 <> 0 and doc_id % 7 <> 0 and doc_id % 3 < 2 and length(text) > 0""",
+from documents where lang not in ('fr', 'de') and doc_id % 3 < 2 and length(text) > 0""",
     "prompt_seq2seq": _with(
         EXAMPLES,
         "select path, span_start, 'Predict class name:' || chr(10) || source || chr(10) || 'Name:' as prompt from examples",
@@ -349,9 +351,10 @@ from firsts group by sample_id""",
     "eval_fallback": _with(
         SCORED
         + """, fallback as (
-  select exact_match and sample_id % 4 <> 0 as exact_match, exact_match_ci and sample_id % 4 <> 0 as exact_match_ci,
-    in_topk and sample_id % 4 <> 0 as in_topk,
-    case when sample_id % 4 = 0 then length(target) else edit_distance end as edit_distance from scored)""",
+  select exact_match and lang <> 'fr' as exact_match, exact_match_ci and lang <> 'fr' as exact_match_ci,
+    in_topk and lang <> 'fr' as in_topk,
+    case when lang = 'fr' then length(target) else edit_distance end as edit_distance
+  from scored join documents on doc_id = sample_id)""",
         _rates("fallback"),
     ),
     "edit_distance_stats": _with(
@@ -431,7 +434,7 @@ select label, value from (
 from gold""",
     ),
     "label_mask": _with(
-        TOKENS,
+        SHORT_TOKENS,
         f"select sample_id, {_list_text('input_ids')} as input_ids, {_list_text('labels')} as labels from labelled",
     ),
     "seq2seq_arrays": """select doc_id as sample_id, array_to_string(ids[1:1024], ',') as input_ids,
@@ -493,7 +496,7 @@ from (select regexp_extract(url, '^https?://[^/]*/(.*)$', 1) as path from pages)
         SPLIT, "select language, split, repo, path, span_start, span_end, source, target from split"
     ),
     "test_split_scan": _with(SPLIT, "select language, repo, path, target from split where split = 'test'"),
-    "tolerant_scan": "select source as repo, text as source, doc_id::varchar as target from documents where doc_id % 10 <> 0",
+    "tolerant_scan": "select source as repo, text as source, doc_id::varchar as target from documents where lang <> 'fr'",
     "export_import_splits": _with(
         FIRST_DOCUMENTS,
         "select split, count(*) as count from split_documents where split in ('train', 'valid') group by split",

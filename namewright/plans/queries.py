@@ -94,10 +94,10 @@ def text_columns(spark, sf_dir):
 
 
 def clean_examples(spark, sf_dir):
-    docs = tables.documents(spark, sf_dir, "text", "source")
+    docs = tables.documents(spark, sf_dir, "text", "source", "lang")
     raw = docs.select(
         "doc_id",
-        F.expr("case when doc_id % 5 = 0 then '' when doc_id % 7 <> 0 then text end").alias("source"),
+        F.expr("case lang when 'fr' then '' when 'de' then null else text end").alias("source"),
         F.expr("case when doc_id % 3 = 0 then 'N' || cast(doc_id as string) end").alias("class_name"),
         F.expr("case when doc_id % 3 = 1 then 'L' || cast(doc_id as string) end").alias("label"),
         F.expr("case when doc_id % 2 = 0 then source end").alias("repo"),
@@ -245,7 +245,7 @@ def best_alternatives(spark, sf_dir):
 
 def beam_ranks(spark, sf_dir):
     beams = tables.beams(tables.documents(spark, sf_dir)).withColumn("score", -F.col("beam"))
-    ranked = generations.rank_beams(beams, order="score")
+    ranked = generations.rank_beams(beams, K, order="score")
     return ranked.select("sample_id", "text", F.col("rank").cast("bigint").alias("rank"))
 
 
@@ -280,9 +280,9 @@ def eval_headline(spark, sf_dir):
 
 
 def eval_fallback(spark, sf_dir):
-    """No beams at all for every fourth sample."""
-    docs = tables.documents(spark, sf_dir)
-    lists = generations.group_beams(tables.beams(docs.filter("doc_id % 4 <> 0")), K)
+    """No beams at all for the documents of one language."""
+    docs = tables.documents(spark, sf_dir, "lang")
+    lists = generations.group_beams(tables.beams(docs.filter("lang <> 'fr'")), K)
     scored = scoring.score_rows(scoring.align_predictions(tables.gold(docs), lists, K), K, "strip")
     return _rounded(scoring.headline_metrics(scored, K)).drop("k", "device", "batch_size")
 
@@ -401,17 +401,17 @@ def _padded_rows(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def collate_batches(spark, sf_dir):
-    rows = batches.causal_labels(tables.tokens(spark, sf_dir), max_length=512)
+    rows = batches.causal_labels(tables.tokens(spark, sf_dir))
     return _padded_rows(batches.collate(batches.form_batches(rows, "sample_id", 8)), "batch_id")
 
 
 def pad_fixed(spark, sf_dir):
-    rows = batches.causal_labels(tables.tokens(spark, sf_dir), max_length=512)
+    rows = batches.causal_labels(tables.tokens(spark, sf_dir))
     return _padded_rows(batches.pad_to(rows, 64))
 
 
 def token_accuracy(spark, sf_dir):
-    rows = batches.causal_labels(tables.tokens(spark, sf_dir), max_length=512)
+    rows = batches.causal_labels(tables.tokens(spark, sf_dir))
     guessed = rows.withColumn("predicted_ids", F.transform("input_ids", lambda x, i: F.when(i % 3 == 0, x + 1).otherwise(x)))
     return _rounded(batches.token_accuracy(guessed))
 
@@ -535,12 +535,12 @@ def test_split_scan(spark, sf_dir):
 
 
 def tolerant_scan(spark, sf_dir):
-    """Every tenth line is cut short before it is written."""
-    rows = tables.documents(spark, sf_dir, "text", "source").select(
-        F.col("source").alias("repo"), F.col("text").alias("source"), F.col("doc_id").cast("string").alias("target"), "doc_id"
+    """The lines of one language are cut short before they are written."""
+    rows = tables.documents(spark, sf_dir, "text", "source", "lang").select(
+        F.col("source").alias("repo"), F.col("text").alias("source"), F.col("doc_id").cast("string").alias("target"), "lang"
     )
     line = F.to_json(F.struct("repo", "source", "target"))
-    broken = F.when(F.col("doc_id") % 10 == 0, F.left(line, F.length(line) - 5)).otherwise(line)
+    broken = F.when(F.col("lang") == "fr", F.left(line, F.length(line) - 5)).otherwise(line)
     folder = shared_folder(spark, "lines")
     rows.select(broken.alias("value")).write.text(folder)
     return example_files.read_examples(spark, folder, tolerant=True).select("repo", "source", "target")

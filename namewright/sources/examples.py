@@ -34,8 +34,16 @@ def read_splits(spark: SparkSession, path: str, splits=("train", "valid"), toler
     return rows.filter(F.col("split").isin(*splits))
 
 
-def write_examples(examples: DataFrame, path: str, fmt: str = "json", max_rows: int = 1_000_000) -> None:
-    """One folder per language and split; files are closed after ``max_rows`` rows."""
+def write_examples(
+    examples: DataFrame, path: str, fmt: str = "json", max_rows: int = 1_000_000, rebalance: bool = False
+) -> None:
+    """One folder per language and split; files are closed after ``max_rows`` rows.
+
+    ``rebalance`` spends a shuffle on files of even size: the rows of a folder come
+    together, and Spark splits folders that are too large for one task.
+    """
+    if rebalance:
+        examples = examples.hint("rebalance", "language", "split")
     (
         examples.write.partitionBy("language", "split")
         .option("maxRecordsPerFile", max_rows)

@@ -52,6 +52,17 @@ def append_log_events(log: DataFrame, path: str, checkpoint: str):
     )
 
 
+def on_log_events(log: DataFrame, callback, checkpoint: str):
+    """Call ``callback(rows, batch_id)`` with the DataFrame of each batch of events."""
+    return (
+        log.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(callback)
+        .start()
+    )
+
+
 def keep_latest(aggregate: DataFrame, path: str, checkpoint: str):
     """Write the whole result of a running aggregate anew after each batch.
 
