@@ -227,6 +227,9 @@ ORACLES = {
     "extract_python": _extract("python"),
     "extract_java": _extract("java"),
     "extract_csharp": _extract("csharp"),
+    "extract_sql": _with(
+        DECLARATIONS, "select language, path, span_start, span_end, snippet, target from declarations"
+    ),
     "examples_masked": _with(
         EXAMPLES, "select language, repo, path, span_start, span_end, source, target from examples"
     ),

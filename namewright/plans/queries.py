@@ -9,6 +9,7 @@ from ..operators import batches, classification, examples as rows_of, extract, g
 from ..operators import ranking, runs, scoring, views
 from ..operators.dedup import first_of_copies
 from ..operators.inference import encode_batch, predict_batch
+from ..operators.sqlfunctions import register_extract_classes
 from ..session import shared_folder, stage
 from ..sources import examples as example_files
 from ..sources import logs
@@ -53,6 +54,14 @@ def _extract(language: str):
     return query
 
 
+def extract_sql(spark, sf_dir):
+    """All declarations through the SQL function."""
+    register_extract_classes(spark)
+    files = tables.code_files(spark, sf_dir)
+    found = files.select("language", "path", F.expr("extract_classes(content, language)").alias("found"))
+    return found.select("language", "path", F.inline("found"))
+
+
 def examples_masked(spark, sf_dir):
     return _examples(spark, sf_dir).select("language", "repo", "path", "span_start", "span_end", "source", "target")
 
@@ -632,6 +641,7 @@ QUERIES = {
     "extract_python": _extract("python"),
     "extract_java": _extract("java"),
     "extract_csharp": _extract("csharp"),
+    "extract_sql": extract_sql,
     "examples_masked": examples_masked,
     "sample_ids": sample_ids,
     "mask_header": mask_header,
