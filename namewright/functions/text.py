@@ -34,8 +34,8 @@ def count_lines(text: Column) -> Column:
 
 
 def normalize_source(text: Column) -> Column:
-    """Strip, then turn every run of white space into one space."""
-    return F.regexp_replace(trim_ws(text), f"{WS}+", " ")
+    """Turn every run of white space into one space, and strip."""
+    return F.trim(F.regexp_replace(text, f"{WS}+", " "))
 
 
 def unify_newlines(text: Column) -> Column:

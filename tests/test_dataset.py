@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from namewright.operators import dedup, examples, profile, ranking, runs
 from namewright.operators.extract import extract_examples
 from namewright.plans import build
-from namewright.sources.examples import read_splits
+from namewright.sources.examples import read_splits, write_examples
 
 
 def rows(spark, data, schema):
@@ -135,6 +135,35 @@ def test_build_dataset_end_to_end(spark, tmp_path):
     assert "PartitionFilters: [" in plan
 
 
+def test_accounts_with_failed_repositories(spark):
+    found = rows(spark, [("python", "k", 0, "a", 1)], "language string, dedup_key string, repo_ord int, path string, span_start int")
+    first = dedup.first_of_copies(found, "dedup_key", ["repo_ord", "path", "span_start"])
+    ingest = rows(spark, [(0, "python", True), (1, "python", False), (0, "java", True)], "repo_ord int, language string, ok boolean")
+    got = {r.language: r.asDict() for r in profile.language_accounts(found, first, ingest).collect()}
+    assert got["python"] == {"language": "python", "repos_ok": 1, "repos_failed": 1, "examples": 1, "unique_examples": 1}
+    assert got["java"] == {"language": "java", "repos_ok": 1, "repos_failed": 0, "examples": 0, "unique_examples": 0}
+
+
+def test_mask_sources_is_optional(spark):
+    table = rows(spark, [("class A:", "python")], "source string, language string")
+    assert examples.mask_sources(table).first().source == "class ____:"
+    assert examples.mask_sources(table, mask=False).first().source == "class A:"
+
+
+def test_missing_keys_survive_ranking(spark):
+    table = rows(spark, [(None, "a", 1), (None, "b", 2), ("x", None, 3)], "run string, key string, line bigint")
+    assert ranking.position_rank(table, "line", ["run"]).count() == 3
+    assert ranking.seeded_rank(table, "key").count() == 3
+    split = ranking.assign_split(table, "key", 0.5, 0.0, within=("run",))
+    assert sorted(r.split for r in split.collect()) == ["test", "test", "train"]
+
+
+def test_rebalanced_write(spark, tmp_path):
+    table = rows(spark, [("java", "train", i) for i in range(50)], "language string, split string, n int").repartition(5)
+    write_examples(table, str(tmp_path / "t"), rebalance=True)
+    assert len(list((tmp_path / "t").glob("*/*/*.json"))) == 1
+
+
 def test_runs(spark):
     log = rows(
         spark,

@@ -3,6 +3,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from namewright.functions import arrays
@@ -165,6 +166,18 @@ def test_collation_pads_to_the_longest_of_each_batch(spark):
     assert {len(r.input_ids) for r in fixed} == {len(r.labels) for r in fixed} == {8}
 
 
+def test_rows_are_counted_as_they_pass(spark):
+    seen = Observation()
+    assert len(batches.observe_rows(spark.range(7), seen).collect()) == 7
+    assert seen.get == {"rows": 7}
+
+
+def test_planned_steps(spark):
+    sizes = spark.createDataFrame([("train", 85)], "split string, count bigint")
+    row = batches.planned_steps(sizes, 10, 4, 3).first()
+    assert (row.steps, row.batches) == (6, 9)
+
+
 def test_token_accuracy_and_argmax(spark):
     rows = spark.createDataFrame([([1, 2, 3], [-100, 2, 4]), ([9], [-100])], "predicted_ids array<int>, labels array<int>")
     assert tuple(batches.token_accuracy(rows).first()) == (1, 2, 0.5)

@@ -143,6 +143,14 @@ def test_stream_of_errors_appends_once(spark, tmp_path):
         assert spark.read.parquet(out).count() == expected
 
 
+def test_callback_per_batch_of_log_events(spark, tmp_path):
+    put(tmp_path / "in", "run1/a.csv", b"0.5,0.1,10\n")
+    seen = []
+    log = jobs.follow_training_log(spark, f"{tmp_path}/in/*", LAYOUTS)
+    jobs.on_log_events(log, lambda rows, batch: seen.append((batch, rows.count())), str(tmp_path / "c")).awaitTermination()
+    assert seen == [(0, 2)]
+
+
 def test_a_stream_without_data_has_an_empty_result(spark, tmp_path):
     os.makedirs(tmp_path / "in")
     best = jobs.best_so_far(jobs.follow_training_log(spark, str(tmp_path / "in"), LAYOUTS))
