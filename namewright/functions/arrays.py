@@ -66,17 +66,6 @@ def argmax_each(rows: Column) -> Column:
     return F.transform(rows, argmax)
 
 
-def counted_tokens(labels: Column) -> Column:
-    """How many labels are not ignored."""
-    return F.size(F.filter(labels, lambda label: label != IGNORED)).cast("bigint")
-
-
-def correct_tokens(predicted: Column, labels: Column) -> Column:
-    """How many labels that are not ignored equal the prediction."""
-    pairs = F.zip_with(predicted, labels, lambda p, label: (label != IGNORED) & (p == label))
-    return F.size(F.filter(pairs, lambda hit: F.coalesce(hit, F.lit(False)))).cast("bigint")
-
-
 def ordered_distinct(values: Column, k: int, drop_empty: bool = False) -> Column:
     """The first ``k`` different elements in their order."""
     if drop_empty:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.arrays import IGNORED, attention_mask, correct_tokens, counted_tokens, mask_prompt, pad_right, truncate
+from ..functions.arrays import IGNORED, attention_mask, mask_prompt, pad_right, truncate
 from .ranking import seeded_rank, with_batch
 
 
@@ -61,12 +61,10 @@ def _padded(rows: DataFrame, pad_id: int) -> DataFrame:
 
 def token_accuracy(rows: DataFrame, predicted: str = "predicted_ids", labels: str = "labels") -> DataFrame:
     """Correct, counted and accuracy over all labels that are not ignored."""
-    per_row = rows.select(
-        correct_tokens(F.col(predicted), F.col(labels)).alias("correct"),
-        counted_tokens(F.col(labels)).alias("total"),
-    )
-    sums = per_row.agg(
-        F.coalesce(F.sum("correct"), F.lit(0)).alias("correct"), F.coalesce(F.sum("total"), F.lit(0)).alias("total")
+    pairs = F.arrays_zip(F.col(predicted).alias("guess"), F.col(labels).alias("label"))
+    counted = rows.select(F.inline(pairs)).filter(F.col("label") != IGNORED)
+    sums = counted.agg(
+        F.count_if(F.col("guess") == F.col("label")).alias("correct"), F.count(F.lit(1)).alias("total")
     )
     return sums.withColumn(
         "token_accuracy", F.coalesce(F.try_divide(F.col("correct").cast("double"), F.col("total")), F.lit(0.0))

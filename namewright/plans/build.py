@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import first_of_copies, join_first, keep_first
 from ..operators.extract import EXAMPLE_ORDER, extract_examples, to_example_rows
-from ..operators.profile import language_accounts, repo_accounts, split_stats
+from ..operators.profile import language_accounts, repo_accounts
 from ..operators.ranking import assign_split
 from ..session import stage
 from ..sources.examples import write_examples
@@ -58,8 +58,3 @@ def build_dataset(
         "languages": language_accounts(examples, chosen, ingest),
         "splits": chosen.groupBy("language", "split").agg(F.count(F.lit(1)).alias("count")),
     }
-
-
-def dataset_stats(rows: DataFrame) -> DataFrame:
-    """Rows and repositories per split of a built dataset."""
-    return split_stats(rows)

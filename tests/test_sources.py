@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from namewright.operators import ranking
 from namewright.sources import examples, logs, repos
