@@ -505,8 +505,7 @@ def _log_lines(spark, sf_dir):
 
 
 def _log_columns(rows: DataFrame) -> DataFrame:
-    shown = F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts")
-    return rows.select(shown, "script", "level", "message")
+    return rows.select(F.col("ts").cast("string").alias("ts"), "script", "level", "message")
 
 
 def parse_run_logs(spark, sf_dir):

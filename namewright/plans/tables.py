@@ -101,7 +101,7 @@ def log_lines(events: DataFrame) -> DataFrame:
     """A run-log line per event; works on a stream too."""
     return events.select(
         F.concat(
-            F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+            F.left(F.col("ts").cast("string"), F.lit(19)),
             F.lit(" - "),
             F.col("event_type"),
             F.expr("case event_type when 'error' then ' - ERROR - ' else ' - INFO - ' end"),

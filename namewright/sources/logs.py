@@ -7,7 +7,7 @@ from ..functions.text import trim_ws
 
 # The shape of a log line and of a log file's name.
 LOG_LINE = r"(?s)\A(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) - (.*?) - ([A-Z]+) - (.*)\z"
-LOG_FILE = r"([^/]+)_(\d{8}_\d{6})\.log\z"
+LOG_FILE = r"(?s)\A.*?([^/]+)_(\d{4})(\d\d)(\d\d)_(\d\d)(\d\d)(\d\d)\.log\z"
 
 
 def training_log_rows(lines: DataFrame, layouts: list[list[str]]) -> DataFrame:
@@ -59,13 +59,16 @@ def read_training_log(
 
 
 def parse_run_log(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Add ``ts, script, level, message``; a continuation line has only the message."""
+    """Add ``ts, script, level, message``; a continuation line has only the message.
+
+    Log times have no zone, so none is put on them.
+    """
     line = F.col(text)
     fits = line.rlike(LOG_LINE)
     part = {i: F.when(fits, F.regexp_extract(line, LOG_LINE, i)) for i in range(1, 5)}
     return lines.select(
         *[name for name in lines.columns if name != text],
-        F.try_to_timestamp(part[1], F.lit("yyyy-MM-dd HH:mm:ss")).alias("ts"),
+        part[1].try_cast("timestamp_ntz").alias("ts"),
         part[2].alias("script"),
         part[3].alias("level"),
         F.coalesce(part[4], line).alias("message"),
@@ -75,7 +78,7 @@ def parse_run_log(lines: DataFrame, text: str = "value") -> DataFrame:
 def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
     """Run logs with the script and start time that the file name gives."""
     name = F.col("_metadata.file_path")
-    started = F.try_to_timestamp(F.nullif(F.regexp_extract(name, LOG_FILE, 2), F.lit("")), F.lit("yyyyMMdd_HHmmss"))
+    started = F.regexp_replace(name, LOG_FILE, "$2-$3-$4 $5:$6:$7").try_cast("timestamp_ntz")
     lines = spark.read.text(path).select(
         F.nullif(F.regexp_extract(name, LOG_FILE, 1), F.lit("")).alias("log_script"), started.alias("started"), "value"
     )
