@@ -385,7 +385,8 @@ def encode_texts(spark, sf_dir):
         return lambda texts: [[ord(letter) for letter in text] for text in texts]
 
     rows = tables.gold(tables.documents(spark, sf_dir))
-    return encode_batch(rows, F.col("target"), make_encode).select("sample_id", _joined(F.col("input_ids")).alias("input_ids"))
+    encoded = encode_batch(rows, F.col("target"), make_encode)
+    return encoded.select("sample_id", _joined(F.col("input_ids")).alias("input_ids"))
 
 
 def label_mask(spark, sf_dir):
@@ -406,7 +407,8 @@ def seq2seq_arrays(spark, sf_dir):
 
 
 def _padded_rows(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.select("sample_id", *keys, *[_joined(F.col(c)).alias(c) for c in ("input_ids", "attention_mask", "labels")])
+    lists = [_joined(F.col(name)).alias(name) for name in ("input_ids", "attention_mask", "labels")]
+    return rows.select("sample_id", *keys, *lists)
 
 
 def collate_batches(spark, sf_dir):
@@ -421,8 +423,8 @@ def pad_fixed(spark, sf_dir):
 
 def token_accuracy(spark, sf_dir):
     rows = batches.causal_labels(tables.tokens(spark, sf_dir))
-    guessed = rows.withColumn("predicted_ids", F.transform("input_ids", lambda x, i: F.when(i % 3 == 0, x + 1).otherwise(x)))
-    return _rounded(batches.token_accuracy(guessed))
+    guess = F.transform("input_ids", lambda x, i: F.when(i % 3 == 0, x + 1).otherwise(x))
+    return _rounded(batches.token_accuracy(rows.withColumn("predicted_ids", guess)))
 
 
 def argmax(spark, sf_dir):
@@ -545,7 +547,10 @@ def test_split_scan(spark, sf_dir):
 def tolerant_scan(spark, sf_dir):
     """The lines of one language are cut short before they are written."""
     rows = tables.documents(spark, sf_dir, "text", "source", "lang").select(
-        F.col("source").alias("repo"), F.col("text").alias("source"), F.col("doc_id").cast("string").alias("target"), "lang"
+        F.col("source").alias("repo"),
+        F.col("text").alias("source"),
+        F.col("doc_id").cast("string").alias("target"),
+        "lang",
     )
     line = F.to_json(F.struct("repo", "source", "target"))
     broken = F.when(F.col("lang") == "fr", F.left(line, F.length(line) - 5)).otherwise(line)
@@ -604,7 +609,8 @@ def scan_files(spark, sf_dir):
 
     files.mapInPandas(save, "written bigint").agg(F.sum("written")).collect()
     root = F.concat(F.lit(folder.removeprefix("file:") + "/"), "repo")
-    repos = files.select("repo").distinct().select(F.lit(0).cast("bigint").alias("repo_ord"), "repo", root.alias("root"))
+    repos = files.select("repo").distinct()
+    repos = repos.select(F.lit(0).cast("bigint").alias("repo_ord"), "repo", root.alias("root"))
     return scan_sources(repos).select("language", "repo", "path", "content")
 
 

@@ -92,7 +92,8 @@ def list_sources(repos: DataFrame, languages=tuple(EXTENSIONS)) -> DataFrame:
 
     prefix = f"{kept_schema}, " if keep else ""
     tasks = repos.sparkSession.sparkContext.defaultParallelism
-    tops = repos.repartition(tasks, "root").mapInPandas(top_level, f"{prefix}root string, is_folder boolean, full_path string")
+    top_schema = f"{prefix}root string, is_folder boolean, full_path string"
+    tops = repos.repartition(tasks, "root").mapInPandas(top_level, top_schema)
     found = tops.repartition(4 * tasks, "full_path").mapInPandas(walk, f"{prefix}root string, full_path string")
     relative = F.substring("full_path", F.length(F.rtrim("root", F.lit("/"))) + 2, F.length("full_path"))
     return found.select(
