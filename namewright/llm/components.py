@@ -9,10 +9,10 @@ from ..session import stage
 def _to_minimum(links: DataFrame, larger_only: bool) -> DataFrame:
     """Link each node's neighbours to the smallest node around it.
 
-    The minimum is reduced on the map side; the join that spreads it back may be split
-    by Spark where one node has many links.
+    The minimum is reduced on the map side and stored, so that Spark can split the join
+    that spreads it back where one node has many links.
     """
-    smallest = links.groupBy("a").agg(F.min("b").alias("m"))
+    smallest = stage(links.groupBy("a").agg(F.min("b").alias("m")), "smallest")
     joined = links.join(smallest, "a").withColumn("m", F.least("a", "m"))
     if larger_only:
         moved = joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))

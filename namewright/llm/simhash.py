@@ -229,7 +229,9 @@ def linked_fingerprints(fingerprints: DataFrame, most: int = 2, small_bucket: in
     parts = allocate(total, both, most)
     rows = probes(fingerprints, parts)
     sizes = rows.groupBy("part", "bucket").agg(F.count("*").alias("n"), F.count_if("home").alias("homes"))
-    met = stage(rows.join(sizes.filter("n > 1 and homes > 0"), ["part", "bucket"]), "probes")
+    # Stored first, so that Spark can split the join at a bucket that holds many rows.
+    crowds = stage(sizes.filter("n > 1 and homes > 0"), "buckets")
+    met = stage(rows.join(crowds, ["part", "bucket"]), "probes")
     small = verified_links(met.filter(F.col("n") <= small_bucket), most)
     crowded = met.filter(F.col("n") > small_bucket).select("fp").distinct()
     return small.unionAll(shared_neighbours(crowded, most))
@@ -284,7 +286,7 @@ def drop_near_duplicates(
     )
     narrow = marked.select("fp", "_row", F.col("_doc")[key].alias("key"))
     firsts = (
-        narrow.join(group_fingerprints(narrow, most), "fp")
+        narrow.join(stage(group_fingerprints(narrow, most), "roots"), "fp")
         .groupBy("root")
         .agg(F.min(F.struct(F.col("key").isNull(), "key", "_row")).alias("first"))
         .select(F.col("first._row").alias("_row"))
