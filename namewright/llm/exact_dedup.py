@@ -122,7 +122,10 @@ def exact_dedup(
     """
     named = text_identity(docs.select(F.col(key).alias("doc_id"), text), text, ["doc_id"], block_bytes, hashed)
     order = F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), "doc_id", "_row")
-    groups = named.groupBy("level", "name").agg(F.count("*").alias("group_size"), F.min(order).alias("_first"))
+    # Stored, so that Spark can split the join below at a group that holds many rows.
+    groups = stage(
+        named.groupBy("level", "name").agg(F.count("*").alias("group_size"), F.min(order).alias("_first")), "groups"
+    )
     return named.join(groups, ["level", "name"]).select(
         "doc_id",
         F.col("_first.doc_id").alias("keep_id"),
