@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .common import range_ranked, whole_text
 
 ROOM = 1024
@@ -157,7 +158,8 @@ def pack(pieces: DataFrame, room: int = ROOM, order=("doc_id", "piece")) -> Data
     Pieces are range-sorted by length and ranked there; of them only the counts per length
     (at most ``room``) reach the driver. Each task then looks up where its pieces go.
     """
-    ranked = range_ranked(pieces, "length", order, "pieces", "_rank")
+    # Sampling for the ranges reads the pieces once more than sorting does.
+    ranked = range_ranked(stage(pieces, "pieces"), "length", order, "ranked", "_rank")
     counts = {row.length: row.n for row in ranked.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if counts and not (1 <= min(counts) and max(counts) <= room):
         raise ValueError(f"pieces must have 1 to {room} tokens")
