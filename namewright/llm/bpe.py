@@ -39,11 +39,12 @@ class Codec:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.kind = "<u2" if size <= 1 << 16 else "<u4"
         self.strings = [(self.tokenizer.id_to_token(i) or "").encode() for i in range(size)]
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, raw: bytes) -> bytes:
-        """The ids of a text, as little-endian unsigned 32-bit numbers."""
+        """The ids of a text, as little-endian unsigned numbers of ``kind``."""
         words = raw.split()
         known = self.known
         missing = {w for w in words if w not in known}
@@ -54,12 +55,12 @@ class Codec:
             order = list(missing)
             encoded = self.tokenizer.encode_batch_fast([w.decode() for w in order], add_special_tokens=False)
             for word, e in zip(order, encoded):
-                known[word] = np.array(e.ids, dtype="<u4").tobytes()
+                known[word] = np.array(e.ids, dtype=self.kind).tobytes()
         return b"".join([known[w] for w in words])
 
     def ids_and_text(self, ids: bytes) -> tuple[int, str, str]:
         """Number of ids, and the digests of their decimal list and of the decoded text."""
-        numbers = np.frombuffer(ids, dtype="<u4").tolist()
+        numbers = np.frombuffer(ids, dtype=self.kind).tolist()
         listed = " ".join(map(str, numbers)).encode()
         decoded = b" ".join(map(self.strings.__getitem__, numbers))
         return len(numbers), hashlib.sha256(listed).hexdigest(), hashlib.sha256(decoded).hexdigest()
@@ -105,25 +106,27 @@ def part_key(part: bytes) -> bytes:
     return xxhash.xxh3_128_digest(part)
 
 
-def _slot(key: bytes, slot_bits: int) -> int:
-    return int.from_bytes(key[:8], "little") & ((1 << slot_bits) - 1)
+def _slots(key: bytes, slot_bits: int) -> tuple[int, int]:
+    mask = (1 << slot_bits) - 1
+    return int.from_bytes(key[:8], "little") & mask, int.from_bytes(key[8:], "little") & mask
 
 
 def repeated_slots(docs: DataFrame, text: str, cut_bits: int, slot_bits: int) -> np.ndarray:
     """A bit table: which of 2**slot_bits hash slots hold two parts or more of the whole corpus.
 
-    Every part that occurs twice has its bit set. Parts that share a slot by chance have,
-    too; they are only moved in vain. The table is bounded by ``slot_bits`` (8 MB), and in a
-    corpus of far more parts than slots it ends up full, which costs data movement but no
-    result; raise ``slot_bits`` there.
+    A part has two slots, and every part that occurs twice has both bits set. A part that
+    shares both slots with others by chance has, too; it is only moved in vain. The table is
+    bounded by ``slot_bits`` (8 MB), and in a corpus of far more parts than slots it ends
+    up full, which costs data movement but no result; raise ``slot_bits`` there.
     """
 
     def slots(batches):
         for batch in batches:
             found = [
-                _slot(part_key(raw[a:b]), slot_bits)
+                slot
                 for raw in batch.column(0).to_pylist()
                 for a, b in shared_parts(raw, cut_bits)
+                for slot in _slots(part_key(raw[a:b]), slot_bits)
             ]
             values, counts = np.unique(np.array(found, dtype=np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["slot", "n"])
@@ -143,20 +146,18 @@ def repeated_slots(docs: DataFrame, text: str, cut_bits: int, slot_bits: int) ->
     return table
 
 
-_FIRST_PASS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, raw binary, keys array<binary>, part binary"
+_FIRST_PASS = (
+    "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, "
+    "between array<binary>, keys array<binary>, part binary"
+)
+_RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
-def _assemble(tool: Codec, raw: bytes, parts, ids_of) -> bytes:
-    """The ids of a text from those of its parts and of what lies between them."""
-    out, at = [], 0
-    for number, (start, stop) in enumerate(parts):
-        ids = ids_of.get(number)
-        if ids is not None:
-            out.append(tool.encode(raw[at:start]))
-            out.append(ids)
-            at = stop
-    out.append(tool.encode(raw[at:]))
-    return b"".join(out)
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<binary>": pa.list_(pa.binary())}
+    names, types = zip(*[field.split(" ") for field in schema.split(", ")])
+    columns = zip(*rows) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), kinds[t]) for c, t in zip(columns, types)], names)
 
 
 def encode_documents(
@@ -166,11 +167,11 @@ def encode_documents(
     """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256), one per row of ``docs``.
 
     Three passes. The first counts in which hash slots parts of chunks repeat. The second
-    finishes documents without repeated parts on the spot and sends out the others: their
-    texts, and each repeated part once per task. Parts are then encoded once each; their
-    ids go to all documents that have them, and the last pass fills in the ids of the
-    joins and of parts that stand alone. A missing text is empty: no ids, the digests of
-    nothing. Repeated rows are encoded each. Columns other than key and text are not read.
+    finishes documents without repeated parts on the spot. Of the others it encodes the
+    joins and the parts that stand alone, and sends out each repeated part once per task.
+    Those are then encoded once each, and the last pass puts their ids where the documents
+    have them. A missing text is empty: no ids, the digests of nothing. Repeated rows are
+    encoded each. Columns other than key and text are not read.
     """
     source = docs.select(F.col(key).cast("long").alias("doc_id"), whole_text(text).alias("_text"))
     table = docs.sparkSession.sparkContext.broadcast(repeated_slots(source, "_text", cut_bits, slot_bits))
@@ -178,31 +179,28 @@ def encode_documents(
     def second(batches):
         tool, slots = codec(vocabulary), table.value
         sent: set[bytes] = set()
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.list_(pa.binary()), pa.binary()]
-        names = [field.split()[0] for field in _FIRST_PASS.split(", ")]
         for batch in batches:
             rows = []
             for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                keys, any_repeated = [], False
+                keys, between, at = [], [], 0
                 for a, b in shared_parts(raw, cut_bits):
                     name = part_key(raw[a:b])
-                    slot = _slot(name, slot_bits)
-                    if slots[slot >> 6] >> (slot & 63) & 1:
-                        keys.append(name)
-                        any_repeated = True
-                        if name not in sent:
-                            if len(sent) >= 1 << 18:
-                                sent.clear()
-                            sent.add(name)
-                            rows.append((None, None, None, None, None, [name], raw[a:b]))
-                    else:
-                        keys.append(None)
-                if any_repeated:
-                    rows.append((doc_id, None, None, None, raw, keys, None))
+                    if not all(slots[slot >> 6] >> (slot & 63) & 1 for slot in _slots(name, slot_bits)):
+                        continue
+                    if name not in sent:
+                        if len(sent) >= 1 << 18:
+                            sent.clear()
+                        sent.add(name)
+                        rows.append((None, None, None, None, None, [name], raw[a:b]))
+                    between.append(tool.encode(raw[at:a]))
+                    keys.append(name)
+                    at = b
+                if keys:
+                    between.append(tool.encode(raw[at:]))
+                    rows.append((doc_id, None, None, None, between, keys, None))
                 else:
                     rows.append((doc_id, *tool.ids_and_text(tool.encode(raw)), None, None, None))
-            columns = zip(*rows) if rows else [[]] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
+            yield _batch(rows, _FIRST_PASS)
 
     passed = stage(
         source.select("doc_id", F.col("_text").cast("binary").alias("raw"))
@@ -214,32 +212,30 @@ def encode_documents(
     def encode_parts(batches):
         tool = codec(vocabulary)
         for batch in batches:
-            ids = [tool.encode(part.as_py()) for part in batch.column(1)]
-            small = [np.frombuffer(x, dtype="<u4").astype("<u2").tobytes() for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.binary())], ["key", "ids"])
+            ids = [tool.encode(part) for part in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["key", "ids"])
 
     parts = passed.filter("part is not null").select(F.get("keys", F.lit(0)).alias("key"), "part")
     encoded = stage(parts.dropDuplicates(["key"]).mapInArrow(encode_parts, "key binary, ids binary"), "parts")
-
-    waiting = passed.filter("raw is not null")
-    wanted = waiting.select("_row", F.posexplode("keys").alias("pos", "key")).filter("key is not null")
+    waiting = passed.filter("between is not null")
     filled = (
-        wanted.join(encoded, "key").groupBy("_row").agg(F.collect_list(F.struct("pos", "ids")).alias("parts"))
+        waiting.select("_row", F.posexplode("keys").alias("pos", "key"))
+        .join(encoded, "key")
+        .groupBy("_row")
+        .agg(F.collect_list(F.struct("pos", "ids")).alias("parts"))
     )
 
     def last(batches):
         tool = codec(vocabulary)
         for batch in batches:
             rows = []
-            for doc_id, raw, parts in zip(*[column.to_pylist() for column in batch.columns]):
-                ids_of = {p["pos"]: np.frombuffer(p["ids"], dtype="<u2").astype("<u4").tobytes() for p in parts}
-                rows.append((doc_id, *tool.ids_and_text(_assemble(tool, raw, shared_parts(raw, cut_bits), ids_of))))
-            columns = zip(*rows) if rows else [[]] * 4
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], out)
-
-    out = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    joined = waiting.select("_row", "doc_id", "raw").join(filled, "_row")
-    assembled = joined.select("doc_id", "raw", "parts").mapInArrow(last, schema)
-    return passed.filter("ids_sha256 is not null").select(*out).unionByName(assembled)
+            for doc_id, between, parts in zip(*[column.to_pylist() for column in batch.columns]):
+                pieces = [ids for known in zip(between, [None] * len(between)) for ids in known]
+                for part in parts:
+                    pieces[2 * part["pos"] + 1] = part["ids"]
+                rows.append((doc_id, *tool.ids_and_text(b"".join(pieces[:-1]))))
+            yield _batch(rows, _RESULT)
+
+    joined = waiting.select("_row", "doc_id", "between").join(filled, "_row")
+    assembled = joined.select("doc_id", "between", "parts").mapInArrow(last, _RESULT)
+    return passed.filter("ids_sha256 is not null").select(*assembled.columns).unionByName(assembled)
