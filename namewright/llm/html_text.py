@@ -214,7 +214,9 @@ def classify(page_blocks: list[Block]) -> list[bool]:
             label, where = own.get(block.main, (None, 0)) if block.main else anywhere
             out[i] = (label, step - where)
             if labels[i] is not None:
-                anywhere = own[block.main] = (labels[i], step)
+                anywhere = (labels[i], step)
+                if not block.dropped:  # what stands inside the article but isn't of it tells nothing of its neighbours
+                    own[block.main] = anywhere
         return out
 
     before, after = nearest(range(n)), nearest(range(n - 1, -1, -1))
