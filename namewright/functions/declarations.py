@@ -19,22 +19,23 @@ WORD = r"[\p{L}\p{N}_]"
 WORD_START = f"(?<!{WORD})"
 WORD_END = f"(?!{WORD})"
 
-_CSHARP_LEAD = f"(?:{CSHARP_ACCESS})?{WS}*(?:{CSHARP_MODIFIER})?{WS}*"
+_CSHARP_LEAD = f"(?:{CSHARP_ACCESS})?{WS}*+(?:{CSHARP_MODIFIER})?{WS}*+"
 _ACCESS_PART = f"(?:(?:{CSHARP_ACCESS}){WS}*+)?"
 _MODIFIER_PART = f"(?:(?:{CSHARP_MODIFIER}){WS}*+)?"
 
 # Where a declaration starts, searched in a whole file. A look-ahead on the first three
 # letters of the words a declaration can start with spares most positions the costlier
 # tests. A C# declaration starts at any word boundary: at the first letter of a word,
-# or already at the white space behind a word.
+# or already at the white space behind a word; that is tested before the run of white
+# space is scanned, so that a long run is scanned once and not from each of its places.
 _JAVA_START = "[cie][ln][atu]"
 _CSHARP_START = "[aceiprs][abelnrtu][abciorstu]"
 DECLARATION = {
     "python": rf"(?md)^class{WS}+{NAME}",
     "java": f"(?={_JAVA_START}){WORD_START}(?:{JAVA_KEYWORDS}){WS}+{NAME}{WORD_END}",
     "csharp": (
-        f"(?={WS}*+{_CSHARP_START})"
-        f"(?:(?=[a-z]){WORD_START}{_ACCESS_PART}|(?={WS})(?<={WORD}){WS}++){_MODIFIER_PART}"
+        f"(?:(?={_CSHARP_START}){WORD_START}{_ACCESS_PART}|(?<={WORD})(?={WS})(?={WS}*+{_CSHARP_START}){WS}++)"
+        f"{_MODIFIER_PART}"
         f"(?:{CSHARP_KEYWORDS}){WS}+{NAME}{WORD_END}"
     ),
 }

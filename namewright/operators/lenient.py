@@ -12,12 +12,16 @@ def lenient(name: Column) -> Column:
 
 
 def compare_leniently(predictions: DataFrame) -> DataFrame:
-    """Add ``truth``, ``guess``, ``hit`` and ``edit_distance`` once for all statistics."""
+    """Add ``truth``, ``guess``, ``hit`` and ``edit_distance`` once for all statistics.
+
+    A missing prediction counts as an empty one, so that no rate leaves its row out.
+    """
+    predicted = F.coalesce(F.col("predicted"), F.lit(""))
     return predictions.withColumns(
         {
             "truth": lenient(F.col("target")),
-            "guess": lenient(F.col("predicted")),
-            "edit_distance": F.levenshtein(trim_ws(F.col("target")), trim_ws(F.col("predicted"))),
+            "guess": lenient(predicted),
+            "edit_distance": F.levenshtein(trim_ws(F.col("target")), trim_ws(predicted)),
         }
     ).withColumn("hit", F.col("truth") == F.col("guess"))
 

@@ -16,8 +16,8 @@ def align_predictions(gold: DataFrame, predictions: DataFrame, k: int, key: str
 
 
 def in_top_k(predictions: Column, gold: Column, k: int) -> Column:
-    """Is the gold name one of the first ``k`` predictions?"""
-    return F.array_contains(F.slice(predictions, 1, k), gold)
+    """Is the gold name one of the first ``k`` predictions? A missing one is a miss."""
+    return F.array_contains(F.array_compact(F.slice(predictions, 1, k)), gold)
 
 
 def score_rows(rows: DataFrame, k: int = 5, normalize: str = "first_token") -> DataFrame:

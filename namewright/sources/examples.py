@@ -17,21 +17,33 @@ def read_examples(
 ) -> DataFrame:
     """JSON Lines under a schema.
 
-    With ``split`` the folder is a partitioned table as written here, of which only
-    that split is read. A malformed line ends the job, or is skipped if ``tolerant``.
+    With ``split`` only that split is read: its folder of a partitioned table as written
+    here, or its file of the flat layout ``<language>/<split>.jsonl``. It is an error
+    if there is neither. A malformed line ends the job, or is skipped if ``tolerant``.
     """
     mode = "DROPMALFORMED" if tolerant else "FAILFAST"
     if split is not None and "split string" not in schema:
         schema = f"{schema}, split string"
     rows = spark.read.schema(schema).option("mode", mode).json(path)
-    return rows if split is None else rows.filter(F.col("split") == split)
+    return rows if split is None else _of_splits(rows, [split], path)
+
+
+def _of_splits(rows: DataFrame, splits, path: str) -> DataFrame:
+    """Rows of some splits, named by partition folders or else by file names."""
+    files = rows.inputFiles()
+    if any("/split=" in file for file in files):
+        return rows.filter(F.col("split").isin(*splits))
+    if not {file.rsplit("/", 1)[-1].split(".", 1)[0] for file in files} & set(splits):
+        raise ValueError(f"no folder and no file of the splits {list(splits)} below {path}")
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"\A([^.]*)", 1)
+    return rows.withColumn("split", name).filter(F.col("split").isin(*splits))
 
 
 def read_splits(spark: SparkSession, path: str, splits=("train", "valid"), tolerant: bool = False) -> DataFrame:
-    """The named splits of a partitioned table; the other folders are not opened."""
+    """The named splits of a partitioned table or of flat files; other folders are not opened."""
     mode = "DROPMALFORMED" if tolerant else "FAILFAST"
     rows = spark.read.schema(SPLIT_SCHEMA).option("mode", mode).json(path)
-    return rows.filter(F.col("split").isin(*splits))
+    return _of_splits(rows, splits, path)
 
 
 def write_examples(

@@ -17,7 +17,11 @@ def training_log_rows(lines: DataFrame, layouts: list[list[str]]) -> DataFrame:
     have different columns under it. So headers are skipped, and a row takes the
     column names of the layout with as many fields; a row that fits none keeps its
     fields as ``column_1`` and so on, with the step last, where it is always written.
+    Layouts of equal length could not be told apart and are an error.
     """
+    lengths = [len(layout) for layout in layouts]
+    if len(set(lengths)) < len(lengths):
+        raise ValueError(f"layouts of {lengths} columns: rows cannot tell layouts of one length apart")
     kept = [name for name in lines.columns if name != "value"]
     fields = F.split("value", ",", -1)
     count = F.size("fields")

@@ -9,12 +9,12 @@ from ..functions.text import repo_slug, trim_ws
 def read_repo_list(spark: SparkSession, path: str) -> DataFrame:
     """One row per listed URL with its place in the list; duplicates stay.
 
-    Blank lines and lines that start with ``#`` are skipped. A list is a small text
+    Several lists follow each other in the order of their paths. Blank lines and lines that start with ``#`` are skipped. A list is a small text
     file, read whole so that the lines keep their order.
     """
     lines = spark.read.text(path, wholetext=True).select(
-        F.posexplode(F.split("value", "\r\n|\r|\n")).alias("line", "url")
+        F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r\n|\r|\n")).alias("line", "url")
     )
     urls = lines.withColumn("url", trim_ws(F.col("url"))).filter((F.col("url") != "") & ~F.col("url").startswith("#"))
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("line")) - 1
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("file", "line")) - 1
     return urls.select(place.cast("bigint").alias("repo_ord"), "url", repo_slug(F.col("url")).alias("repo"))

@@ -131,3 +131,9 @@ def test_only_the_declaration_is_masked(spark):
 def test_mask_header(spark, language, content, expected):
     row = files(spark, [(language, content)]).select(mask_header(F.col("content"), F.col("language")).alias("m")).first()
     assert row.m == expected
+
+
+def test_csharp_search_is_linear_in_blanks(spark):
+    text = "int x;" + " " * 1_000_000 + "public class Box {\n}\n"
+    files = spark.createDataFrame([("r", "a.cs", "csharp", text)], "repo string, path string, language string, content string")
+    assert [r.target for r in extract_examples(files, False, 1).collect()] == ["Box"]

@@ -95,22 +95,22 @@ def test_training_log_with_changing_columns(spark, tmp_path):
 
 
 LOG = (
-    b"2025-01-27 14:30:22 - eval_gpu - INFO - Using GPU: X - Y\n"
-    b"2025-01-28 00:00:00 - train - ERROR - Failed\n"
+    b"2031-05-06 07:08:09 - score_run - INFO - Using device: X - Y\n"
+    b"2031-05-07 00:00:00 - train - ERROR - Failed\n"
     b"Traceback: some Error\n"
-    b"2025-01-28 00:00:01 - train - INFO - completed\n"
+    b"2031-05-07 00:00:01 - train - INFO - completed\n"
 )
 
 
 def test_run_logs(spark, tmp_path):
-    put(tmp_path, "eval_gpu_20250127_143022.log", LOG)
+    put(tmp_path, "score_run_20310506_070809.log", LOG)
     rows = logs.read_run_logs(spark, str(tmp_path))
     first = rows.filter("message like 'Using%'").first()
-    assert (first.log_script, str(first.started), str(first.ts)) == ("eval_gpu", "2025-01-27 14:30:22", "2025-01-27 14:30:22")
-    assert (first.script, first.level, first.message) == ("eval_gpu", "INFO", "Using GPU: X - Y")
+    assert (first.log_script, str(first.started), str(first.ts)) == ("score_run", "2031-05-06 07:08:09", "2031-05-06 07:08:09")
+    assert (first.script, first.level, first.message) == ("score_run", "INFO", "Using device: X - Y")
     assert sorted(r.message for r in logs.error_lines(rows).collect()) == ["Failed", "Traceback: some Error"]
-    assert logs.select_logs(rows, day="2025-01-28").count() == 2
-    assert logs.select_logs(rows, script="eval_").count() == 1
+    assert logs.select_logs(rows, day="2031-05-07").count() == 2
+    assert logs.select_logs(rows, script="score_").count() == 1
     assert logs.select_logs(rows, phrase="completed").count() == 1
 
 
@@ -155,3 +155,27 @@ def test_a_stream_without_data_has_an_empty_result(spark, tmp_path):
     best = jobs.best_so_far(jobs.follow_training_log(spark, str(tmp_path / "in"), LAYOUTS))
     jobs.keep_latest(best, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
     assert jobs.read_latest(spark, str(tmp_path / "out"), best.schema).count() == 0
+
+
+def test_flat_splits_and_missing_ones(spark, tmp_path):
+    row = '{"language": "java", "repo": "r", "path": "p", "source": "s", "target": "T"}\n'
+    for name, lines in {"train": 3, "valid": 2, "test": 1}.items():
+        put(tmp_path, f"java/{name}.jsonl", (row * lines).encode())
+    root = str(tmp_path / "java")
+    assert examples.read_examples(spark, root, split="valid").count() == 2
+    assert sorted(r.split for r in examples.read_splits(spark, root).collect()) == ["train"] * 3 + ["valid"] * 2
+    with pytest.raises(ValueError):
+        examples.read_examples(spark, root, split="dev")
+
+
+def test_lists_follow_each_other(spark, tmp_path):
+    put(tmp_path, "lists/a.txt", b"https://h/o/one\nhttps://h/o/two\n")
+    put(tmp_path, "lists/b.txt", b"https://h/o/three\n")
+    listed = repos.read_repo_list(spark, str(tmp_path / "lists")).orderBy("repo_ord").collect()
+    assert [r.repo for r in listed] == ["o__one", "o__two", "o__three"]
+
+
+def test_layouts_of_one_length(spark):
+    lines = spark.createDataFrame([("r", "1,2")], "run string, value string")
+    with pytest.raises(ValueError):
+        logs.training_log_rows(lines, [["loss", "step"], ["rate", "step"]])
