@@ -12,154 +12,132 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import EXTENSIONS, language_of
+from ..session import stage
+from .store import Store, patiently
 
 # Flush a result batch after this many bytes of text.
 _BATCH_BYTES = 32 * 1024 * 1024
+# A task leaves the folders that are still to be listed to other tasks after this many entries.
+_ENTRIES_AT_ONCE = 10_000
 
 
-def _folder_opener():
-    """A function that lists one folder: (is_folder, path) pairs. Runs on executors.
+def _fields(frame: DataFrame, names) -> str:
+    return "".join(f"`{name}` {frame.schema[name].dataType.simpleString()}, " for name in names)
 
-    Plain paths use the operating system and do not follow links to folders; a URI
-    such as ``s3://`` or ``hdfs://`` goes through Arrow's file systems.
-    """
-
-    def entries(folder):
-        if "://" in folder:
-            from pyarrow import fs
-
-            system, base = fs.FileSystem.from_uri(folder)
-            scheme = folder.split("://", 1)[0]
-            for info in system.get_file_info(fs.FileSelector(base)):
-                yield info.type == fs.FileType.Directory, f"{scheme}://{info.path}"
-        else:
-            import os
-
-            with os.scandir(folder) as found:
-                for entry in found:
-                    yield entry.is_dir(follow_symlinks=False), entry.path
 
-    return entries
-
-
-def list_sources(repos: DataFrame, languages=tuple(EXTENSIONS)) -> DataFrame:
+def list_sources(repos: DataFrame, languages=tuple(EXTENSIONS), entries_at_once: int = _ENTRIES_AT_ONCE) -> DataFrame:
     """All files of the wanted languages below each repository's ``root`` column.
 
-    The top level of each repository is listed first; its folders are then spread
-    and walked separately, so one huge repository keeps many tasks busy.
+    A task that has met ``entries_at_once`` entries below a folder hands the folders it has not
+    opened yet to the next round, where they are spread over all tasks; so a repository
+    with all its code below one folder keeps many tasks busy. Each round is a stored table.
+    A folder that is missing or may not be read is a row of its own, with the reason in
+    ``error`` and without a language; other faults of the storage end the job.
     """
     endings = tuple(EXTENSIONS[language] for language in languages)
-    entries = _folder_opener()
     keep = [name for name in repos.columns if name != "root"]
-    kept_schema = ", ".join(f"`{name}` {repos.schema[name].dataType.simpleString()}" for name in keep)
-
-    def top_level(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for row in batch.itertuples(index=False):
-                values = [getattr(row, name) for name in keep]
-                try:
-                    for is_folder, path in entries(row.root):
-                        if is_folder or path.endswith(endings):
-                            rows.append([*values, row.root, is_folder, path])
-                except OSError:
-                    continue
-            yield pd.DataFrame(rows, columns=[*keep, "root", "is_folder", "full_path"])
+    names = [*keep, "root", "full_path", "is_folder", "error"]
+    schema = f"{_fields(repos, keep)}root string, full_path string, is_folder boolean, error string"
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store = Store()
         for batch in batches:
             for row in batch.itertuples(index=False):
-                values = [getattr(row, name) for name in keep]
-                rows, folders = [], []
-                if row.is_folder:
-                    folders.append(row.full_path)
-                else:
-                    rows.append([*values, row.root, row.full_path])
-                while folders:
+                same = [*(getattr(row, name) for name in keep), row.root]
+                rows, folders, met = [], [row.full_path], 0
+                while folders and met < entries_at_once:
                     folder = folders.pop()
-                    try:
-                        for is_folder, path in entries(folder):
-                            if is_folder:
-                                folders.append(path)
-                            elif path.endswith(endings):
-                                rows.append([*values, row.root, path])
-                    except OSError:
+                    found, error = patiently(lambda folder=folder: list(store.entries(folder)))
+                    if error:
+                        rows.append([*same, folder, False, error])
                         continue
-                    if len(rows) >= 10000:
-                        yield pd.DataFrame(rows, columns=[*keep, "root", "full_path"])
-                        rows = []
-                yield pd.DataFrame(rows, columns=[*keep, "root", "full_path"])
+                    met += len(found)
+                    for is_folder, path, _ in found:
+                        if is_folder:
+                            folders.append(path)
+                        elif path.endswith(endings):
+                            rows.append([*same, path, False, None])
+                rows += [[*same, folder, True, None] for folder in folders]
+                yield pd.DataFrame(rows, columns=names)
 
-    prefix = f"{kept_schema}, " if keep else ""
     tasks = repos.sparkSession.sparkContext.defaultParallelism
-    top_schema = f"{prefix}root string, is_folder boolean, full_path string"
-    tops = repos.repartition(tasks, "root").mapInPandas(top_level, top_schema)
-    found = tops.repartition(4 * tasks, "full_path").mapInPandas(walk, f"{prefix}root string, full_path string")
+    todo, listed = repos.withColumn("full_path", F.col("root")), None
+    while True:
+        found = stage(todo.repartition(4 * tasks, "full_path").mapInPandas(walk, schema), "listed")
+        files = found.filter(~F.col("is_folder"))
+        listed = files if listed is None else listed.unionByName(files)
+        todo = found.filter("is_folder").select(*keep, "root", "full_path")
+        if todo.isEmpty():
+            break
     relative = F.substring("full_path", F.length(F.rtrim("root", F.lit("/"))) + 2, F.length("full_path"))
-    return found.select(
-        *keep, relative.alias("path"), "full_path", language_of(F.col("full_path")).alias("language")
-    )
+    language = F.when(F.col("error").isNull(), language_of(F.col("full_path")))
+    return listed.select(*keep, relative.alias("path"), "full_path", language.alias("language"), "error")
 
 
 def read_sources(listed: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Read the listed files: lenient UTF-8, LF line ends, unreadable files empty.
+    """Read the listed files: lenient UTF-8, LF line ends.
 
-    Paths are spread by hash first, so no task owns a whole repository.
+    A file that is missing or may not be read has an empty text and the reason in ``error``;
+    other faults of the storage end the job. Paths are spread by hash first, so no task owns
+    a whole repository.
     """
-    keep = [name for name in listed.columns if name != "full_path"]
-    schema = ", ".join(f"`{name}` {listed.schema[name].dataType.simpleString()}" for name in keep)
+    keep = [name for name in listed.columns if name not in ("full_path", "error")]
+    told = listed if "error" in listed.columns else listed.withColumn("error", F.lit(None).cast("string"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def text_of(path):
-            try:
-                if "://" in path:
-                    from pyarrow import fs
-
-                    system, base = fs.FileSystem.from_uri(path)
-                    with system.open_input_stream(base) as stream:
-                        raw = stream.read()
-                else:
-                    with open(path, "rb") as stream:
-                        raw = stream.read()
-            except OSError:
-                return ""
-            return raw.decode("utf-8", "ignore").replace("\r\n", "\n").replace("\r", "\n")
+        store = Store()
+
+        def bytes_of(path):
+            with store.open(path) as stream:
+                return stream.read()
 
         for batch in batches:
-            start, size, texts = 0, 0, []
-            paths = batch.pop("full_path").tolist()
-            for place, path in enumerate(paths, 1):
-                texts.append(text_of(path))
+            start, size, texts, errors = 0, 0, [], []
+            paths, known = batch.pop("full_path").tolist(), batch.pop("error").tolist()
+            for place, (path, error) in enumerate(zip(paths, known), 1):
+                raw = None
+                if not isinstance(error, str):
+                    raw, error = patiently(lambda path=path: bytes_of(path))
+                texts.append((raw or b"").decode("utf-8", "ignore").replace("\r\n", "\n").replace("\r", "\n"))
+                errors.append(error)
                 size += len(texts[-1])
                 if size >= _BATCH_BYTES or place == len(paths):
-                    yield batch.iloc[start:place].assign(content=texts)
-                    start, size, texts = place, 0, []
+                    yield batch.iloc[start:place].assign(content=texts, error=errors)
+                    start, size, texts, errors = place, 0, [], []
 
     count = partitions or 4 * listed.sparkSession.sparkContext.defaultParallelism
-    return listed.repartition(count, "full_path").mapInPandas(read, f"{schema}, content string")
+    ordered = told.select(*keep, "full_path", "error").repartition(count, "full_path")
+    return ordered.mapInPandas(read, f"{_fields(told, keep)}content string, error string")
 
 
 def scan_sources(repos: DataFrame, languages=tuple(EXTENSIONS), partitions: int | None = None) -> DataFrame:
-    """``repo_ord, repo, path, language, content`` of every source file.
+    """``repo_ord, repo, path, language, content, error`` of every source file.
 
-    ``repos`` has ``repo_ord``, ``repo`` and ``root``, the checked-out folder.
+    ``repos`` has ``repo_ord``, ``repo`` and ``root``, the checked-out folder. Folders that
+    could not be opened are rows with an ``error`` and no language, which yield no examples.
     """
     return read_sources(list_sources(repos, languages), partitions)
 
 
+def scan_accounts(files: DataFrame) -> DataFrame:
+    """Per repository: files read, files that could not be read, folders that could not be opened."""
+    failed = F.col("error").isNotNull()
+    return files.groupBy("repo").agg(
+        F.count_if(~failed).alias("files"),
+        F.count_if(failed & F.col("language").isNotNull()).alias("unread_files"),
+        F.count_if(failed & F.col("language").isNull()).alias("unread_folders"),
+    )
+
+
 def ingest_status(repos: DataFrame, languages=tuple(EXTENSIONS)) -> DataFrame:
     """Whether each listed repository could be opened, per language."""
-    entries = _folder_opener()
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store = Store()
         for batch in batches:
-            opened = []
-            for root in batch["root"]:
-                try:
-                    next(iter(entries(root)), None)
-                    opened.append(True)
-                except OSError:
-                    opened.append(False)
+            opened = [
+                patiently(lambda root=root: next(store.entries(root), None))[1] is None for root in batch["root"]
+            ]
             yield batch[["repo_ord", "repo"]].assign(ok=opened)
 
     checked = repos.select("repo_ord", "repo", "root").mapInPandas(check, "repo_ord bigint, repo string, ok boolean")

@@ -11,11 +11,15 @@ from pyspark.sql import types as T
 from ..operators.runs import checkpoint_summary
 from ..operators.scoring import share
 from ..sources.logs import error_lines, parse_run_log, run_of_file, training_log_rows
+from .tail import follow_lines
+
+# Take all that has come so far, then stop; ``{"processingTime": "10 seconds"}`` goes on.
+ALL_SO_FAR = {"availableNow": True}
 
 
 def follow_training_log(spark: SparkSession, path: str, layouts: list[list[str]]) -> DataFrame:
-    """A stream of long rows from the training logs that appear below ``path``."""
-    lines = spark.readStream.text(path).select(run_of_file(F.col("_metadata.file_path")).alias("run"), "value")
+    """A stream of long rows from the training logs below ``path``, also from lines appended later."""
+    lines = follow_lines(spark, path).select(run_of_file(F.col("path")).alias("run"), "value")
     return training_log_rows(lines, layouts)
 
 
@@ -25,8 +29,8 @@ def best_so_far(log: DataFrame) -> DataFrame:
 
 
 def follow_errors(spark: SparkSession, path: str) -> DataFrame:
-    """A stream of the run-log lines that speak of an error."""
-    return error_lines(parse_run_log(spark.readStream.text(path)))
+    """A stream of the run-log lines that speak of an error, also of lines appended later."""
+    return error_lines(parse_run_log(follow_lines(spark, path).select("value")))
 
 
 def running_scores(scored: DataFrame) -> DataFrame:
@@ -41,45 +45,47 @@ def running_scores(scored: DataFrame) -> DataFrame:
     )
 
 
-def append_log_events(log: DataFrame, path: str, checkpoint: str):
+def append_log_events(log: DataFrame, path: str, checkpoint: str, trigger=ALL_SO_FAR):
     """Write each arriving log event to a table, once even after a restart."""
     return (
         log.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .format("parquet")
         .start(path)
     )
 
 
-def on_log_events(log: DataFrame, callback, checkpoint: str):
+def on_log_events(log: DataFrame, callback, checkpoint: str, trigger=ALL_SO_FAR):
     """Call ``callback(rows, batch_id)`` with the DataFrame of each batch of events."""
     return (
         log.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .foreachBatch(callback)
         .start()
     )
 
 
-def keep_latest(aggregate: DataFrame, path: str, checkpoint: str):
+def keep_latest(aggregate: DataFrame, path: str, checkpoint: str, trigger=ALL_SO_FAR):
     """Write the whole result of a running aggregate anew after each batch.
 
-    Each batch has its own folder, so a batch that is run again after a failure
-    replaces its own output only; ``read_latest`` takes the newest. An empty result
-    stands there before any data has come.
+    Two folders take turns, so the result before stays readable while the next is written,
+    a batch that is run again after a failure replaces its own output only, and no more than
+    two results are kept; ``read_latest`` takes the newest. An empty result stands there
+    before any data has come.
     """
-    empty = aggregate.sparkSession.createDataFrame([], aggregate.schema)
-    empty.write.mode("ignore").parquet(f"{path}/batch=-1")
+    empty = aggregate.withColumn("_batch", F.lit(-1).cast("bigint")).schema
+    aggregate.sparkSession.createDataFrame([], empty).write.mode("ignore").parquet(f"{path}/_turn=-1")
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        numbered = batch.withColumn("_batch", F.lit(batch_id).cast("bigint"))
+        numbered.write.mode("overwrite").parquet(f"{path}/_turn={batch_id % 2}")
 
     return (
         aggregate.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .foreachBatch(save)
         .start()
     )
@@ -87,7 +93,7 @@ def keep_latest(aggregate: DataFrame, path: str, checkpoint: str):
 
 def read_latest(spark: SparkSession, path: str, schema) -> DataFrame:
     """The result of the last finished batch of ``keep_latest``."""
-    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    rows = spark.read.schema(with_batch).parquet(path)
-    newest = rows.agg(F.max("batch").alias("batch"))
-    return rows.join(F.broadcast(newest), "batch", "left_semi").drop("batch")
+    numbered = T.StructType([*schema.fields, T.StructField("_batch", T.LongType()), T.StructField("_turn", T.IntegerType())])
+    rows = spark.read.schema(numbered).parquet(path)
+    newest = rows.agg(F.max("_batch").alias("_batch"))
+    return rows.join(F.broadcast(newest), "_batch", "left_semi").drop("_batch", "_turn")

@@ -1,11 +1,13 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from namewright.operators import ranking
-from namewright.sources import examples, logs, repos
-from namewright.sources.files import ingest_status, list_sources, scan_sources
+from namewright.sources import examples, logs, repos, store
+from namewright.sources.files import ingest_status, list_sources, scan_accounts, scan_sources
 from namewright.streaming import jobs
+from namewright.streaming.tail import follow_lines
 
 
 def put(root, path, content):
@@ -38,7 +40,13 @@ def test_scan_finds_hidden_paths_and_reads_leniently(spark, tmp_path):
     table = spark.createDataFrame(
         [(0, "one", root), (1, "gone", str(tmp_path / "gone"))], "repo_ord bigint, repo string, root string"
     )
-    rows = {r.path: (r.language, r.content) for r in scan_sources(table).collect()}
+    scanned = scan_sources(table)
+    rows = {r.path: (r.language, r.content) for r in scanned.filter("language is not null").collect()}
+    assert {r.path: r.error for r in scanned.filter("error is not null").collect()} == {
+        "": "FileNotFoundError", "broken.py": "FileNotFoundError",
+    }
+    counts = {tuple(r) for r in scan_accounts(scanned).collect()}
+    assert counts == {("one", 5, 1, 0), ("gone", 0, 0, 1)}
     assert rows == {
         "pkg/__init__.py": ("python", "class A:\n  pass\n"),
         "_priv/b.py": ("python", "caf  ok"),
@@ -47,7 +55,12 @@ def test_scan_finds_hidden_paths_and_reads_leniently(spark, tmp_path):
         "deep/er/x.cs": ("csharp", "x"),
         "broken.py": ("python", ""),
     }
-    assert list_sources(table, ["java"]).count() == 1
+    assert list_sources(table, ["java"]).filter("error is null").count() == 1
+    by_uri = table.withColumn("root", F.concat(F.lit("file://"), "root"))
+    for rounds in (1, 10_000):  # also where every task hands its folders on
+        found = list_sources(by_uri, entries_at_once=rounds).filter("error is null").collect()
+        assert {r.path for r in found} == set(rows)
+        assert all(r.full_path == f"file://{root}/{r.path}" for r in found)
     status = {(r.repo, r.language): r.ok for r in ingest_status(table, ["java"]).collect()}
     assert status == {("one", "java"): True, ("gone", "java"): False}
 
@@ -142,6 +155,41 @@ def test_stream_of_errors_appends_once(spark, tmp_path):
         assert spark.read.parquet(out).count() == expected
 
 
+def test_a_faulty_store_ends_the_scan():
+    tries = []
+
+    def fail():
+        tries.append(1)
+        raise TimeoutError
+
+    with pytest.raises(TimeoutError):
+        store.patiently(fail)
+    assert len(tries) == 3
+
+
+def test_a_stream_follows_files_that_grow(spark, tmp_path):
+    """Each finished line comes once, across restarts and however a file is cut; a rewritten file is an error."""
+    source, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+
+    def run(range_bytes):
+        lines = follow_lines(spark, f"{source}/*/log*", rangeBytes=range_bytes)
+        jobs.append_log_events(lines.select("value"), out, checkpoint).awaitTermination()
+        return sorted(r.value for r in spark.read.parquet(out).collect())
+
+    put(source, "a/log1", b"one\ntwo\r\nthr")
+    put(source, "a/other", b"no\n")
+    put(source, "a/.log", b"no\n")
+    assert run(3) == ["one", "two"]
+    with open(os.path.join(source, "a/log1"), "ab") as log:
+        log.write("ee\n\nélan\n".encode())
+    put(source, "b/log2", b"x" * 100 + b"\nlast\n")
+    want = sorted(["one", "two", "three", "", "élan", "x" * 100, "last"])
+    assert run(7) == want == run(1)
+    put(source, "a/log1", b"one\n")
+    with pytest.raises(Exception, match="shorter"):
+        run(7)
+
+
 def test_callback_per_batch_of_log_events(spark, tmp_path):
     put(tmp_path / "in", "run1/a.csv", b"0.5,0.1,10\n")
     seen = []
