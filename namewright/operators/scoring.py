@@ -49,9 +49,14 @@ def share(flag: Column) -> Column:
 
 
 def headline_metrics(scored: DataFrame, k: int = 5, device: str = "cpu", batch_size: int = 8) -> DataFrame:
-    """One row: sample count, match rates, top-k rate and mean edit distance."""
+    """One row: sample count, match rates, top-k rate and mean edit distance.
+
+    Samples whose batch failed count as misses; where ``failed`` tells which, they are also counted.
+    """
+    failed = [F.count_if("failed").alias("failed")] if "failed" in scored.columns else []
     return scored.agg(
         F.count(F.lit(1)).alias("n"),
+        *failed,
         share(F.col("exact_match")).alias("exact_match"),
         share(F.col("exact_match_ci")).alias("exact_match_case_insensitive"),
         share(F.col("in_topk")).alias("topk_accuracy"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.prompts import completion_line, completion_token, render_prompt
 from ..operators.classification import classification_report, weighted_scores
 from ..operators.examples import drop_empty, with_defaults
-from ..operators.inference import predict_batch
+from ..operators.inference import predict_batch, prediction_accounts
 from ..operators.lenient import class_distribution, compare_leniently, language_stats, report_metrics
 from ..operators.scoring import edit_distance_stats, headline_metrics, score_rows, with_throughput
 from ..session import stage
@@ -74,7 +74,9 @@ def report(
     best = F.coalesce(F.try_element_at("predictions", F.lit(1)), F.lit(""))
     predicted = predicted.withColumns({"predicted": best, "timestamp": F.current_timestamp()}).drop("predictions")
     if make_topk is not None:
-        predicted = answers(predicted, make_topk, k).withColumnRenamed("predictions", "topk_predictions")
+        first = predicted.withColumnRenamed("failed", "_failed")
+        predicted = answers(first, make_topk, k).withColumnRenamed("predictions", "topk_predictions")
+        predicted = predicted.withColumn("failed", F.col("failed") | F.col("_failed")).drop("_failed")
     rows = stage(predicted, "predicted")
     compared = compare_leniently(rows)
     stamp = run_timestamp(spark)
@@ -92,6 +94,7 @@ def report(
     )
     tables = {
         "predictions": rows,
+        "prediction_accounts": prediction_accounts(rows),
         "language_stats": language_stats(compared),
         "classification_report": classification_report(compared, "truth", "guess"),
     }
