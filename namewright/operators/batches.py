@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import IGNORED, attention_mask, mask_prompt, pad_right, truncate
+from .joins import join_on
 from .ranking import seeded_rank, with_batch
 
 
@@ -32,14 +33,19 @@ def seq2seq_pair(encoded: DataFrame, max_source: int = 1024, max_target: int = 3
 
 
 def form_batches(encoded: DataFrame, key: str, batch_size: int, seed: int = 42) -> DataFrame:
-    """Add ``batch_id`` in the seeded order of the rows."""
-    return with_batch(seeded_rank(encoded, key, seed), batch_size)
+    """Add ``rank``, ``batch_id`` and ``longest``, the most ids of a row of the batch, in the seeded order.
+
+    Only keys and lengths are ordered; the arrays meet their batch in one join. Keys are unique.
+    """
+    sizes = encoded.select(key, F.size("input_ids").alias("_size"))
+    ranked = with_batch(seeded_rank(sizes, key, seed), batch_size)
+    longest = F.max("_size").over(Window.partitionBy("batch_id"))
+    return join_on(encoded, ranked.withColumn("longest", longest).drop("_size"), [key])
 
 
 def collate(batched: DataFrame, pad_id: int = 0) -> DataFrame:
-    """Pad ids, mask and labels to the longest row of each batch."""
-    longest = F.max(F.size("input_ids")).over(Window.partitionBy("batch_id"))
-    return _padded(batched.withColumn("_length", longest), pad_id).drop("_length")
+    """Pad ids, mask and labels to the ``longest`` row of each batch."""
+    return _padded(batched.withColumnRenamed("longest", "_length"), pad_id).drop("_length")
 
 
 def pad_to(encoded: DataFrame, length: int, pad_id: int = 0) -> DataFrame:

@@ -5,8 +5,17 @@ from pyspark.sql import functions as F
 
 from .joins import join_on
 
-# Columns whose number of different values is fixed by the extraction itself.
-FEW_VALUED = {"language"}
+# Rows that a bucket should hold, and the hex digits up to which bucket counts are broadcast (65,536 rows).
+BUCKET_ROWS = 100_000
+BROADCAST_DIGITS = 4
+
+
+def bucket_digits(rows: int, least: int = 3) -> int:
+    """Leading hex digits by which a seeded order is cut, so that buckets stay small at any number of rows."""
+    digits = least
+    while rows > BUCKET_ROWS * 16**digits:
+        digits += 1
+    return digits
 
 
 def seeded_hash(key: Column, seed: int = 42) -> Column:
@@ -46,14 +55,15 @@ def _bucketed_rank(keyed: DataFrame, groups, order: str, bounded: bool) -> DataF
     )
 
 
-def seeded_rank(rows: DataFrame, key: str, seed: int = 42, digits: int = 3) -> DataFrame:
+def seeded_rank(rows: DataFrame, key: str, seed: int = 42, digits: int | None = None) -> DataFrame:
     """Add ``rank``, the row's place in the seeded order; keys must be unique.
 
-    The leading hex digits of the hash form even buckets: 16**digits counts are all
-    that is summed up and broadcast, and each bucket is numbered on its own.
+    The leading hex digits of the hash form even buckets, each numbered on its own; only
+    their counts are summed up. Without ``digits`` the rows are counted first.
     """
+    digits = digits or bucket_digits(rows.count())
     keyed = _with_bucket(rows, key, seed, digits).withColumn("_all", F.length("_hash"))
-    return _bucketed_rank(keyed, ["_all"], "_hash", bounded=True).drop("_hash", "_all")
+    return _bucketed_rank(keyed, ["_all"], "_hash", bounded=digits <= BROADCAST_DIGITS).drop("_hash", "_all")
 
 
 def position_rank(rows: DataFrame, position: str, within, width: int = 65536) -> DataFrame:
@@ -77,7 +87,7 @@ def assign_split(
     valid: float = 0.1,
     seed: int = 42,
     within=("language",),
-    digits: int = 3,
+    digits: int | None = None,
 ) -> DataFrame:
     """Add ``split`` with exact sizes: both ratios truncate, test takes the rest.
 
@@ -85,11 +95,13 @@ def assign_split(
     are looked up: bucket counts find the bucket each cut falls into, those buckets
     alone are numbered, and every row is compared with the two cut hashes. So no row
     is shuffled but the few in the cut buckets. The cuts, one row per group, are
-    broadcast if the groups are of a fixed number; else Spark decides by their size.
-    ``rows`` is read three times, so it should be a narrow stored table.
+    broadcast if there is one group; else Spark decides by their size.
+    ``rows`` is read up to four times, so it should be a narrow stored table; without
+    ``digits`` it is counted first.
     """
     groups = list(within) or ["_all"]
-    few = set(within) <= FEW_VALUED
+    few = not within
+    digits = digits or bucket_digits(rows.count())
     keyed = _with_bucket(rows, key, seed, digits)
     if not within:
         keyed = keyed.withColumn("_all", F.length("_hash"))  # one group: all hashes are as long

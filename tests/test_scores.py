@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import statistics
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from namewright.functions import arrays
-from namewright.operators import batches, classification, generations, lenient, scoring, views
+from namewright.operators import batches, classification, generations, lenient, ranking, scoring, views
 from namewright.operators.inference import encode_batch, predict_batch
 from namewright.plans import evaluate, prepare
 
@@ -151,6 +152,25 @@ def test_prompt_masking(spark):
     assert got == {1: [-100, -100, 7], 2: [5, 6], 3: [5, 6], 4: [], 5: [-100, 2, 3]}
 
 
+def test_arrays_are_shuffled_once_for_batches(spark, tmp_path, capsys):
+    token_rows(spark, [(i, [1] * i, 1) for i in range(50)]).write.parquet(str(tmp_path / "tokens"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        rows = batches.causal_labels(spark.read.parquet(str(tmp_path / "tokens")))
+        made = batches.collate(batches.form_batches(rows, "sample_id", 8))
+        made.explain("formatted")
+    finally:
+        spark.conf.set(threshold, before)
+    moved = re.findall(r"\(\d+\) Exchange\s+Input \[\d+\]: \[(.*)\]", capsys.readouterr().out)
+    assert len(moved) > 1 and sum("input_ids" in columns for columns in moved) == 1
+
+
+def test_bucket_digits_follow_the_rows():
+    assert [ranking.bucket_digits(n) for n in (0, 10**8, 10**9, 10**12)] == [3, 3, 4, 6]
+
+
 def test_collation_pads_to_the_longest_of_each_batch(spark):
     rows = batches.causal_labels(token_rows(spark, [(i, list(range(1, i + 2)), 1) for i in range(20)]), 512)
     padded = batches.collate(batches.form_batches(rows, "sample_id", 6), pad_id=0).collect()
@@ -198,6 +218,7 @@ def test_failing_batches_give_empty_predictions(spark):
     rows = spark.createDataFrame([(i, "bad" if i == 3 else f"p{i}") for i in range(6)], "id int, prompt string").coalesce(1)
     got = predict_batch(rows, F.col("prompt"), make, k=2, batch_size=2).orderBy("id").collect()
     assert [r.predictions for r in got] == [["P0", "x"], ["P1", "x"], ["", ""], ["", ""], ["P4", "x"], ["P5", "x"]]
+    assert [r.failed for r in got] == [False, False, True, True, False, False]
     with pytest.raises(Exception, match="out of memory"):
         predict_batch(rows, F.col("prompt"), make, k=2, on_error="raise").collect()
 
