@@ -8,7 +8,7 @@ from ..functions.declarations import DECLARATION, by_language, mask_snippet, sni
 from ..functions.text import LANGUAGES, count_lines, normalize_source
 
 # What orders the copies of an example: list order, file order, order in the file.
-EXAMPLE_ORDER = ("repo_ord", "path", "span_start")
+EXAMPLE_ORDER = ("repo_ord", "repo", "path", "span_start")
 
 
 def split_at_declarations(content: Column, language: Column) -> Column:

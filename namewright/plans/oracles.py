@@ -407,7 +407,8 @@ select label, value from (
   union all select 'Top-3 Accuracy', printf('%.2f%%', topk * 100) from m
   union all select 'Avg Levenshtein Distance', printf('%.2f', lev) from m
   union all select 'Samples Evaluated', format('{:,}', n) from m
-  union all select 'Evaluation Time', '1.5 minutes' from m)""",
+  union all select 'Evaluation Time', '1.5 minutes' from m
+  union all select 'Speed', printf('%.2f samples/sec', n / 90.0) from m)""",
     ).replace("\n, m as", ", m as"),
     "sample_view": _with(
         SCORED,
@@ -453,8 +454,8 @@ from (select doc_id, list_transform(string_split(text, ' '), lambda w: length(w)
     "pad_fixed": _with(
         TOKENS
         + """, short as (
-  select sample_id, input_ids[1:64] as input_ids, labels[1:64] as labels from labelled)""",
-        _PADDED.format(key="", length="64", rows="short"),
+  select sample_id, input_ids[1:512] as input_ids, labels[1:512] as labels from labelled)""",
+        _PADDED.format(key="", length="512", rows="short"),
     ),
     "token_accuracy": _with(
         TOKENS
@@ -515,6 +516,12 @@ from (select regexp_extract(url, '^https?://[^/]*/(.*)$', 1) as path from pages)
         """select language, repo, '_pkg/.d/__' || path
   || (case language when 'python' then '.py' when 'java' then '.java' else '.cs' end) as path, content from code_files""",
     ),
+    "scan_accounts": _with(
+        CODE_FILES,
+        """select repo, count(*) as files, 0::bigint as unread_files, 0::bigint as unread_folders from code_files group by repo
+  union all select 'gone', 0, 0, 1""",
+    ),
+    "failed_batches": """select count(*) as prompts, count(*) filter (length(text) % 3 = 0) as failed from documents""",
     "stream_training_log": _with(TRAINING_LOG, _BEST),
     "stream_scores": _with(
         SCORED,

@@ -8,12 +8,12 @@ from ..functions.declarations import mask_header as masked_header
 from ..operators import batches, classification, examples as rows_of, extract, generations, lenient, profile
 from ..operators import ranking, runs, scoring, views
 from ..operators.dedup import first_of_copies
-from ..operators.inference import encode_batch, predict_batch
+from ..operators.inference import encode_batch, predict_batch, prediction_accounts
 from ..operators.sqlfunctions import register_extract_classes
 from ..session import shared_folder, stage
 from ..sources import examples as example_files
 from ..sources import logs
-from ..sources.files import scan_sources
+from ..sources.files import scan_accounts, scan_sources
 from ..sources.results import write_metrics, write_results
 from ..streaming import jobs
 from . import build, tables
@@ -38,7 +38,7 @@ def _examples(spark: SparkSession, sf_dir: str, mask: bool = True) -> DataFrame:
 
 def _splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split examples without their text."""
-    return build.split_of_first(_examples(spark, sf_dir), carry=("repo", "target"))
+    return build.split_of_first(_examples(spark, sf_dir), carry=("target",))
 
 
 # Extraction
@@ -338,7 +338,7 @@ def name_report(spark, sf_dir):
 def metrics_display(spark, sf_dir):
     metrics = scoring.headline_metrics(_scored(spark, sf_dir), K)
     shown = views.metrics_display(scoring.with_throughput(metrics, 90.0))
-    return shown.filter(F.col("label") != "Speed").select("label", "value")
+    return shown.select("label", "value")
 
 
 def sample_view(spark, sf_dir):
@@ -370,6 +370,21 @@ def batch_inference(spark, sf_dir):
     return named.select("path", "span_start", "target", "predicted_name", "correct")
 
 
+def failed_batches(spark, sf_dir):
+    """A model that breaks on some texts, asked one by one: the broken ones are counted, not scored as empty."""
+
+    def make_predict():
+        def predict(asked):
+            if len(asked[0]) % 3 == 0:
+                raise RuntimeError("no answer")
+            return [[asked[0]]]
+
+        return predict
+
+    docs = tables.documents(spark, sf_dir, "text")
+    return prediction_accounts(predict_batch(docs, F.col("text"), make_predict, k=1, batch_size=1))
+
+
 def batch_accuracy(spark, sf_dir):
     rows = tables.prediction_lists(tables.documents(spark, sf_dir))
     return _rounded(generations.batch_accuracy(generations.attach_predictions(rows)))
@@ -418,7 +433,7 @@ def collate_batches(spark, sf_dir):
 
 def pad_fixed(spark, sf_dir):
     rows = batches.causal_labels(tables.tokens(spark, sf_dir))
-    return _padded_rows(batches.pad_to(rows, 64))
+    return _padded_rows(batches.pad_to(rows, 512))
 
 
 def token_accuracy(spark, sf_dir):
@@ -586,8 +601,8 @@ def metrics_roundtrip(spark, sf_dir):
     return _rounded(spark.read.parquet(folder).select("run", "n", "exact_match", "topk_accuracy"))
 
 
-def scan_files(spark, sf_dir):
-    """The code files written as files, hidden paths among them, and scanned."""
+def _written_repos(spark, sf_dir):
+    """The code files written as files, hidden paths among them, and a repository that isn't there."""
     folder = shared_folder(spark, "repos")
     endings = "case language when 'python' then '.py' when 'java' then '.java' else '.cs' end"
     files = tables.code_files(spark, sf_dir).select(
@@ -609,9 +624,17 @@ def scan_files(spark, sf_dir):
 
     files.mapInPandas(save, "written bigint").agg(F.sum("written")).collect()
     root = F.concat(F.lit(folder.removeprefix("file:") + "/"), "repo")
-    repos = files.select("repo").distinct()
-    repos = repos.select(F.lit(0).cast("bigint").alias("repo_ord"), "repo", root.alias("root"))
-    return scan_sources(repos).select("language", "repo", "path", "content")
+    repos = files.select("repo").distinct().unionAll(spark.createDataFrame([("gone",)], "repo string"))
+    return repos.select(F.lit(0).cast("bigint").alias("repo_ord"), "repo", root.alias("root"))
+
+
+def scan_files(spark, sf_dir):
+    found = scan_sources(_written_repos(spark, sf_dir)).filter("error is null")
+    return found.select("language", "repo", "path", "content")
+
+
+def scan_counts(spark, sf_dir):
+    return scan_accounts(scan_sources(_written_repos(spark, sf_dir)))
 
 
 # Streams
@@ -696,6 +719,7 @@ QUERIES = {
     "sample_view": sample_view,
     "first_samples": first_samples,
     "batch_inference": batch_inference,
+    "failed_batches": failed_batches,
     "batch_accuracy": batch_accuracy,
     "encode_texts": encode_texts,
     "label_mask": label_mask,
@@ -722,6 +746,7 @@ QUERIES = {
     "results_roundtrip": results_roundtrip,
     "metrics_roundtrip": metrics_roundtrip,
     "scan_files": scan_files,
+    "scan_accounts": scan_counts,
     "stream_training_log": stream_training_log,
     "stream_scores": stream_scores,
     "stream_log_errors": stream_log_errors,
