@@ -2,10 +2,13 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_OWNED: ContextVar[str | None] = ContextVar("owned", default=None)
 
 
 def local_session(cores="*", app="namewright", **conf):
@@ -47,15 +50,33 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder path below the shared root, never used before."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder path below the shared root or the ``scratch`` block's folder, never used before."""
+    return f"{_OWNED.get() or shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str = "scratch"):
+    """A block whose staged tables lie in one new folder, which is removed at its end.
+
+    DataFrames that read them must be used up within the block: ``with scratch(spark):
+    build_dataset(files, path)["splits"].show()``. Tables staged outside of a block stay.
+    """
+    folder = shared_folder(spark, name)
+    token = _OWNED.set(folder)
+    try:
+        yield folder
+    finally:
+        _OWNED.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and lets each later pass read
-    only the columns it needs.
+    only the columns it needs. The job runs at once, while the plan around it is
+    still being made; see ``scratch`` for who removes the table.
     """
     spark = df.sparkSession
     path = shared_folder(spark, name)

@@ -1,4 +1,5 @@
 import hashlib
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from namewright.operators import dedup, examples, profile, ranking, runs
 from namewright.operators.extract import extract_examples
 from namewright.plans import build
+from namewright.session import scratch, shared_root
 from namewright.sources.examples import read_splits, write_examples
 
 
@@ -135,6 +137,27 @@ def test_build_dataset_end_to_end(spark, tmp_path):
     assert "PartitionFilters: [" in plan
 
 
+def test_a_build_in_a_scratch_block_leaves_its_output_only(spark, tmp_path):
+    shared = shared_root(spark).removeprefix("file:")
+    before = set(os.listdir(shared))
+    data = [(0, "r", f"f{i}.py", "python", f"class C{i}:\n    x = {i}\n    y = 1\n") for i in range(10)]
+    table = rows(spark, data, "repo_ord int, repo string, path string, language string, content string")
+    with scratch(spark) as folder:
+        accounts = build.build_dataset(table, str(tmp_path / "out"))
+        assert sum(r["count"] for r in accounts["splits"].collect()) == 10
+        assert os.listdir(folder.removeprefix("file:"))
+    assert set(os.listdir(shared)) == before
+    assert read_splits(spark, str(tmp_path / "out"), ("train", "valid", "test")).count() == 10
+
+
+def test_copies_in_repositories_of_one_place_are_dropped(spark):
+    """Also if two repositories have the same number, path and place of a class."""
+    body = "class C:\n    x = 1\n    y = 1\n"
+    table = rows(spark, [(0, repo, "f.py", "python", body) for repo in ("b", "a", "c")],
+                 "repo_ord int, repo string, path string, language string, content string")
+    assert [r.repo for r in build.unique_examples(extract_examples(table)).collect()] == ["a"]
+
+
 def test_accounts_with_failed_repositories(spark):
     found = rows(spark, [("python", "k", 0, "a", 1)], "language string, dedup_key string, repo_ord int, path string, span_start int")
     first = dedup.first_of_copies(found, "dedup_key", ["repo_ord", "path", "span_start"])
