@@ -8,7 +8,7 @@ CODE_FILES = r"""code_files as (
     array_to_string(list_transform(string_split(text, chr(10)), lambda x, i:
       case when (i - 1) % 4 = 0 then
           (case doc_id % 3 when 0 then 'class K' when 1 then 'public class K' else 'public sealed class K' end)
-          || doc_id || '_' || (i - 1) || (case doc_id % 3 when 0 then '(Base):' else ' {' end) || chr(10) || '    ' || x
+          || regexp_extract(x, '[A-Za-z]+') || (case doc_id % 3 when 0 then '(Base):' else ' {' end) || chr(10) || '    ' || x
         else '    ' || x end), chr(10)) as content
   from documents)"""
 
@@ -80,20 +80,18 @@ FIRST_DOCUMENTS = f"""keyed as (select doc_id, sha256({_NORMALIZED.format("text"
     when n <= floor(total * cast(0.8 as double)) + floor(total * cast(0.1 as double)) then 'valid'
     else 'test' end as split from ranked_documents)"""
 
-BEAMS = """gold as (
-  select doc_id as sample_id,
-    case doc_id % 3 when 0 then 'python' when 1 then 'java' else 'csharp' end as language,
-    'Cls' || cast(doc_id % 37 as varchar) as target
-  from documents),
+BEAMS = (
+    EXAMPLES
+    + """, gold as (select sample_id, language, target from examples),
+ named_words as (
+  select sample_id, source, body, length(source) as n, regexp_extract_all(body, '[A-Za-z]+') as w
+  from (select *, substr(source, instr(source, chr(10)) + 1) as body from examples)),
  beams as (
-  select doc_id as sample_id, beam,
-    case when doc_id % 5 = 3 then ''
-      when doc_id % 5 = 0 and beam = 1 then 'Cls' || cast(doc_id % 37 as varchar)
-      when doc_id % 5 = 1 and beam = 1 then 'cls' || cast(doc_id % 37 as varchar)
-      when doc_id % 5 = 2 and beam = 3 then 'Cls' || cast(doc_id % 37 as varchar)
-      when doc_id % 5 = 4 and beam = 1 then 'Cls' || cast((doc_id + 1) % 37 as varchar)
-      when beam = 1 then 'Wrong' else 'Alt' || cast(beam % 2 as varchar) end as text
-  from documents cross join (values (1), (2), (3)) as b(beam))"""
+  select sample_id, source, body, n, beam,
+    case n % 5 when 3 then '' when 1 then lower('K' || coalesce(w[(beam + n) % 3 + 1], ''))
+      else 'K' || coalesce(w[(beam + n) % 3 + 1], '') end as text
+  from named_words, (values (1), (2), (3)) as b(beam))"""
+)
 
 LISTS = (
     BEAMS
@@ -123,13 +121,21 @@ COMPARED = (
 COMPLETIONS = (
     BEAMS
     + """, completions as (
-  select sample_id, beam, 'class ____:' || chr(10) || 'Class name: ' || text || ' ;x:' || chr(10)
-    || 'next<|endoftext|>tail' as raw from beams)"""
+  select sample_id, beam, case (n + beam) % 6
+    when 0 then source || chr(10) || 'Class name: ' || text || ' ;x:' || chr(10) || 'next<|endoftext|>tail'
+    when 1 then text || chr(10) || body
+    when 2 then 'Class name: Other' || chr(10) || 'Class name: ' || text || '.;,'
+    when 3 then ''
+    when 4 then 'Name: ' || text || ':,<|endoftext|>' || body
+    else 'class ____:' || chr(10) || 'Class name: ' || text || '<|endoftext|>' end as raw from beams)"""
 )
 
-_AFTER_MARK = "split_part(string_split(raw, 'Class name:')[-1], '<|endoftext|>', 1)"
-_LINE = f"trim(split_part(trim({_AFTER_MARK}, ' ' || chr(10)), chr(10), 1))"
+_ENDS = "' ' || chr(9) || chr(10) || chr(13)"
+_ANSWER = f"trim(split_part(string_split(raw, 'Class name:')[-1], '<|endoftext|>', 1), {_ENDS})"
+_LINE = f"trim(split_part({_ANSWER}, chr(10), 1), {_ENDS})"
 _TOKEN = rf"regexp_extract(rtrim({_LINE}, '.:;,'), '^\s*(\S*)', 1)"
+_CLEANED = f"trim(rtrim({_ANSWER}, '.:;,' || chr(10) || chr(9)), {_ENDS})"
+_AFTER_NAME = "substr(raw, instr(raw, 'Name:') + 5)"
 
 UNIQUE = (
     COMPLETIONS
@@ -221,7 +227,7 @@ _BEST = """select run, arg_min(step, (value, step)) filter (where metric = 'eval
   min(value) filter (where metric = 'eval_loss') as best_value, max(step) as final_step
 from training_log group by run"""
 
-_NAMED = "named as (select doc_id, case when doc_id % 4 = 0 then '{0}' else 'train' end as split from documents)"
+_NAMED = "named as (select doc_id, case lang when 'es' then '{0}' else 'train' end as split from documents)"
 
 ORACLES = {
     "extract_python": _extract("python"),
@@ -320,19 +326,19 @@ from named group by split""",
     ),
     "extract_completion_line": _with(
         COMPLETIONS,
-        f"""select sample_id, beam::bigint as beam,
-  trim(split_part(rtrim(trim({_AFTER_MARK}, ' ' || chr(10)), '.:;,' || chr(10) || chr(9)), chr(10), 1)) as text
-from completions""",
+        f"""select sample_id, beam::bigint as beam, case when contains(raw, 'Class name:')
+  then trim(split_part({_CLEANED}, chr(10), 1), {_ENDS}) else {_CLEANED} end as text from completions""",
     ),
-    # These completions say "name:", not "Name:", so the leading identifier is taken.
     "extract_identifier": _with(
         COMPLETIONS,
-        rf"select sample_id, beam::bigint as beam, regexp_extract(raw, '^\s*({_NAME})', 1) as text from completions",
+        rf"""select sample_id, beam::bigint as beam, case when contains(raw, 'Name:')
+    and regexp_matches({_AFTER_NAME}, '^\s*{_NAME}') then regexp_extract({_AFTER_NAME}, '^\s*({_NAME})', 1)
+  else regexp_extract(raw, '^\s*({_NAME})', 1) end as text from completions""",
     ),
     "extract_probe": _with(
         COMPLETIONS,
-        r"""select sample_id, beam::bigint as beam, case when contains(raw, 'Name:')
-  then regexp_extract(split_part(raw, 'Name:', 2), '^\s*(\S*)', 1) end as text from completions""",
+        rf"""select sample_id, beam::bigint as beam, case when contains(raw, 'Name:')
+  then coalesce(nullif(regexp_extract({_AFTER_NAME}, '^\s*(\S*)', 1), ''), 'EMPTY') end as text from completions""",
     ),
     "topk_unique": _with(
         UNIQUE,
@@ -354,10 +360,9 @@ from firsts group by sample_id""",
     "eval_fallback": _with(
         SCORED
         + """, fallback as (
-  select exact_match and lang <> 'fr' as exact_match, exact_match_ci and lang <> 'fr' as exact_match_ci,
-    in_topk and lang <> 'fr' as in_topk,
-    case when lang = 'fr' then length(target) else edit_distance end as edit_distance
-  from scored join documents on doc_id = sample_id)""",
+  select exact_match and language <> 'java' as exact_match, exact_match_ci and language <> 'java' as exact_match_ci,
+    in_topk and language <> 'java' as in_topk,
+    case when language = 'java' then length(target) else edit_distance end as edit_distance from scored)""",
         _rates("fallback"),
     ),
     "edit_distance_stats": _with(

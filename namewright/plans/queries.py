@@ -186,8 +186,7 @@ def label_profile(spark, sf_dir):
 
 
 def top_labels(spark, sf_dir):
-    rows = tables.gold(tables.documents(spark, sf_dir))
-    return profile.top_labels(rows, ["sample_id"])
+    return profile.top_labels(tables.gold(_examples(spark, sf_dir)), ["sample_id"])
 
 
 def build_accounting(spark, sf_dir):
@@ -202,8 +201,8 @@ def language_accounting(spark, sf_dir):
 
 
 def _named_splits(spark, sf_dir, second: str):
-    docs = tables.documents(spark, sf_dir)
-    return docs.select("doc_id", F.expr(f"case when doc_id % 4 = 0 then '{second}' else 'train' end").alias("split"))
+    docs = tables.documents(spark, sf_dir, "lang")
+    return docs.select("doc_id", F.expr(f"case lang when 'es' then '{second}' else 'train' end").alias("split"))
 
 
 def missing_splits(spark, sf_dir):
@@ -230,14 +229,14 @@ def planned_steps(spark, sf_dir):
 
 def _completion(clean):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = tables.completions(tables.documents(spark, sf_dir))
+        raw = tables.completions(_examples(spark, sf_dir))
         return raw.select("sample_id", F.col("beam").cast("bigint").alias("beam"), clean(F.col("raw")).alias("text"))
 
     return query
 
 
 def _unique(spark, sf_dir, drop_empty):
-    raw = tables.completions(tables.documents(spark, sf_dir))
+    raw = tables.completions(_examples(spark, sf_dir))
     cleaned = raw.withColumn("text", prompts.completion_token(F.col("raw")))
     grouped = generations.group_beams(cleaned, K)
     return generations.unique_predictions(grouped, K, drop_empty)
@@ -253,7 +252,7 @@ def best_alternatives(spark, sf_dir):
 
 
 def beam_ranks(spark, sf_dir):
-    beams = tables.beams(tables.documents(spark, sf_dir)).withColumn("score", -F.col("beam"))
+    beams = tables.beams(_examples(spark, sf_dir)).withColumn("score", -F.col("beam"))
     ranked = generations.rank_beams(beams, K, order="score")
     return ranked.select("sample_id", "text", F.col("rank").cast("bigint").alias("rank"))
 
@@ -262,9 +261,9 @@ def beam_ranks(spark, sf_dir):
 
 
 def _grouped(spark, sf_dir):
-    docs = tables.documents(spark, sf_dir)
-    lists = generations.group_beams(tables.beams(docs), K)
-    return scoring.align_predictions(tables.gold(docs), lists, K)
+    found = _examples(spark, sf_dir)
+    lists = generations.group_beams(tables.beams(found), K)
+    return scoring.align_predictions(tables.gold(found), lists, K)
 
 
 def _scored(spark, sf_dir):
@@ -289,10 +288,10 @@ def eval_headline(spark, sf_dir):
 
 
 def eval_fallback(spark, sf_dir):
-    """No beams at all for the documents of one language."""
-    docs = tables.documents(spark, sf_dir, "lang")
-    lists = generations.group_beams(tables.beams(docs.filter("lang <> 'fr'")), K)
-    scored = scoring.score_rows(scoring.align_predictions(tables.gold(docs), lists, K), K, "strip")
+    """No beams at all for the examples of one language."""
+    found = _examples(spark, sf_dir)
+    lists = generations.group_beams(tables.beams(found.filter("language <> 'java'")), K)
+    scored = scoring.score_rows(scoring.align_predictions(tables.gold(found), lists, K), K, "strip")
     return _rounded(scoring.headline_metrics(scored, K)).drop("k", "device", "batch_size")
 
 
@@ -301,7 +300,7 @@ def edit_distance_stats(spark, sf_dir):
 
 
 def _compared(spark, sf_dir):
-    rows = tables.prediction_lists(tables.documents(spark, sf_dir))
+    rows = tables.prediction_lists(_examples(spark, sf_dir))
     rows = rows.withColumn("predicted", F.element_at("predictions", 1))
     return lenient.compare_leniently(rows.withColumnRenamed("predictions", "topk_predictions"))
 
@@ -347,7 +346,7 @@ def sample_view(spark, sf_dir):
 
 
 def first_samples(spark, sf_dir):
-    return rows_of.first_samples(tables.gold(tables.documents(spark, sf_dir)), 100, ["sample_id"])
+    return rows_of.first_samples(tables.gold(_examples(spark, sf_dir)), 100, ["sample_id"])
 
 
 def batch_inference(spark, sf_dir):
@@ -386,7 +385,7 @@ def failed_batches(spark, sf_dir):
 
 
 def batch_accuracy(spark, sf_dir):
-    rows = tables.prediction_lists(tables.documents(spark, sf_dir))
+    rows = tables.prediction_lists(_examples(spark, sf_dir))
     return _rounded(generations.batch_accuracy(generations.attach_predictions(rows)))
 
 
@@ -399,7 +398,7 @@ def encode_texts(spark, sf_dir):
     def make_encode():
         return lambda texts: [[ord(letter) for letter in text] for text in texts]
 
-    rows = tables.gold(tables.documents(spark, sf_dir))
+    rows = tables.gold(_examples(spark, sf_dir))
     encoded = encode_batch(rows, F.col("target"), make_encode)
     return encoded.select("sample_id", _joined(F.col("input_ids")).alias("input_ids"))
 
@@ -587,7 +586,7 @@ def results_roundtrip(spark, sf_dir):
     folder = shared_folder(spark, "results")
     scored = _scored(spark, sf_dir).withColumn("input_ids", F.array(F.lit(1)))
     write_results(scored, folder)
-    schema = "sample_id bigint, target string, top_prediction string, exact_match boolean, in_topk boolean"
+    schema = "sample_id string, target string, top_prediction string, exact_match boolean, in_topk boolean"
     return spark.read.schema(schema).json(folder)
 
 
@@ -646,7 +645,8 @@ def stream_training_log(spark, sf_dir):
 
 
 def stream_scores(spark, sf_dir):
-    rows = tables.prediction_lists(tables.table_stream(spark, sf_dir, "documents").select("doc_id"))
+    files = tables.as_code_files(tables.table_stream(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    rows = tables.prediction_lists(extract.extract_examples(files))
     return _finished(spark, _rounded(jobs.running_scores(scoring.score_rows(rows, K))))
 
 

@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.prompts import END_OF_TEXT
-from ..session import spread
 
 LANGUAGE_BY_ID = "case doc_id % 3 when 0 then 'python' when 1 then 'java' else 'csharp' end"
 HEADER_BY_ID = "case doc_id % 3 when 0 then 'class K' when 1 then 'public class K' else 'public sealed class K' end"
@@ -15,18 +14,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Documents spread over the cores if the file has fewer splits than there are."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", *columns), "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", *columns)
 
 
-def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fourth line of a document stands below a class header of its language."""
+def as_code_files(documents: DataFrame) -> DataFrame:
+    """Every fourth line of a document stands below a class header of its language, named after the line's first word."""
     content = f"""array_join(transform(split(text, chr(10)), (x, i) ->
         case when i % 4 = 0
-             then concat({HEADER_BY_ID}, cast(doc_id as string), '_', cast(i as string),
+             then concat({HEADER_BY_ID}, regexp_extract(x, '[A-Za-z]+', 0),
                          case doc_id % 3 when 0 then '(Base):' else ' {{' end, chr(10), '    ', x)
              else concat('    ', x) end), chr(10))"""
-    return documents(spark, sf_dir, "text", "source").select(
+    return documents.select(
         F.col("source").alias("repo"),
         F.expr("concat('f', cast(doc_id as string))").alias("path"),
         F.expr(LANGUAGE_BY_ID).alias("language"),
@@ -34,46 +32,51 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _beam_text(beam: str) -> str:
-    return f"""case when doc_id % 5 = 3 then ''
-        when doc_id % 5 = 0 and {beam} = 1 then 'Cls' || cast(doc_id % 37 as string)
-        when doc_id % 5 = 1 and {beam} = 1 then 'cls' || cast(doc_id % 37 as string)
-        when doc_id % 5 = 2 and {beam} = 3 then 'Cls' || cast(doc_id % 37 as string)
-        when doc_id % 5 = 4 and {beam} = 1 then 'Cls' || cast((doc_id + 1) % 37 as string)
-        when {beam} = 1 then 'Wrong' else 'Alt' || cast({beam} % 2 as string) end"""
+def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_code_files(documents(spark, sf_dir, "text", "source"))
 
 
-def gold(documents: DataFrame) -> DataFrame:
-    """One target name per document."""
-    return documents.select(
-        F.col("doc_id").alias("sample_id"),
-        F.expr(LANGUAGE_BY_ID).alias("language"),
-        F.expr("'Cls' || cast(doc_id % 37 as string)").alias("target"),
-    )
+def gold(examples: DataFrame) -> DataFrame:
+    """The name each extracted example asks for."""
+    return examples.select("sample_id", "language", "target")
 
 
-def beams(documents: DataFrame) -> DataFrame:
-    """Three generated names per document, as long rows."""
-    three = documents.select("doc_id", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("beam"))
-    return three.select(F.col("doc_id").alias("sample_id"), "beam", F.expr(_beam_text("beam")).alias("text"))
+def _with_names(examples: DataFrame) -> DataFrame:
+    """Three answers per example, made of the first words below its masked header.
 
+    The length of the source says which word comes first, so the right name has rank 1, 2
+    or 3; one answer in five is in lower case and one is empty.
+    """
+    body = examples.withColumn("body", F.expr("substr(source, instr(source, chr(10)) + 1)"))
+    words = body.withColumns({"w": F.expr("regexp_extract_all(body, '[A-Za-z]+', 0)"), "n": F.length("source")})
+    names = """transform(array(1, 2, 3), b -> case n % 5 when 3 then ''
+        when 1 then lower('K' || coalesce(get(w, (b + n) % 3), ''))
+        else 'K' || coalesce(get(w, (b + n) % 3), '') end)"""
+    return words.withColumn("predictions", F.expr(names))
 
-def prediction_lists(documents: DataFrame) -> DataFrame:
-    """Target and the same three names as a list; row by row, so also for streams."""
-    return documents.select(
-        F.col("doc_id").alias("sample_id"),
-        F.expr(LANGUAGE_BY_ID).alias("language"),
-        F.expr("'Cls' || cast(doc_id % 37 as string)").alias("target"),
-        F.array(*[F.expr(_beam_text(str(beam))) for beam in (1, 2, 3)]).alias("predictions"),
+
+def beams(examples: DataFrame, *columns: str) -> DataFrame:
+    """The answers as long rows."""
+    return _with_names(examples).select("sample_id", *columns, F.posexplode("predictions").alias("place", "text")).select(
+        "sample_id", *columns, (F.col("place") + 1).alias("beam"), "text"
     )
 
 
-def completions(documents: DataFrame) -> DataFrame:
-    """The raw text a model would have generated around each name."""
-    raw = F.concat(
-        F.lit("class ____:\nClass name: "), F.col("text"), F.lit(f" ;x:\nnext{END_OF_TEXT}tail")
-    )
-    return beams(documents).select("sample_id", "beam", raw.alias("raw"))
+def prediction_lists(examples: DataFrame) -> DataFrame:
+    """Target and the same answers as a list; row by row, so also for streams."""
+    return _with_names(examples).select("sample_id", "language", "target", "predictions")
+
+
+def completions(examples: DataFrame) -> DataFrame:
+    """Raw texts of several shapes: prompt repeated, no marker, two markers, empty, another marker, end marker only."""
+    raw = f"""case (n + beam) % 6
+        when 0 then concat(source, chr(10), 'Class name: ', text, ' ;x:', chr(10), 'next{END_OF_TEXT}tail')
+        when 1 then concat(text, chr(10), body)
+        when 2 then concat('Class name: Other', chr(10), 'Class name: ', text, '.;,')
+        when 3 then ''
+        when 4 then concat('Name: ', text, ':,{END_OF_TEXT}', body)
+        else concat('class ____:', chr(10), 'Class name: ', text, '{END_OF_TEXT}') end"""
+    return beams(examples, "source", "body", "n").select("sample_id", "beam", F.expr(raw).alias("raw"))
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

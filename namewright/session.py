@@ -82,15 +82,3 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-repartition a plain scan that has fewer splits than cores.
-
-    A scan of many files is returned as it is. Hashing on a key (not round
-    robin) gives the same layout when a lost task is run again.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
