@@ -64,6 +64,20 @@ def headline_metrics(scored: DataFrame, k: int = 5, device: str = "cpu", batch_s
     ).withColumns({"k": F.lit(k), "device": F.lit(device), "batch_size": F.lit(batch_size)})
 
 
+def caller_metrics(scored: DataFrame, metrics: dict, by=()) -> DataFrame:
+    """Sample counts and means of a caller's own scores, per group on demand.
+
+    ``metrics`` maps a name to (function, columns). The function gets these columns of one
+    Arrow batch as pandas Series and returns a number per row; sums are formed by
+    Spark, so no group meets in one task. A missing score counts as 0. A metric that
+    Spark can express needs no function: aggregate ``scored`` itself.
+    """
+    scores = {name: F.pandas_udf(function, "double")(*columns) for name, (function, columns) in metrics.items()}
+    marked = scored.select(*by, *[column.alias(f"_{name}") for name, column in scores.items()])
+    means = [F.avg(F.coalesce(F.col(f"_{name}"), F.lit(0.0))).alias(name) for name in metrics]
+    return marked.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *means)
+
+
 def with_throughput(metrics: DataFrame, elapsed_seconds: float) -> DataFrame:
     """Add the wall-clock time of the job and the samples per second, 0 for no time."""
     speed = F.coalesce(F.try_divide(F.col("n").cast("double"), F.lit(float(elapsed_seconds))), F.lit(0.0))

@@ -227,6 +227,9 @@ _BEST = """select run, arg_min(step, (value, step)) filter (where metric = 'eval
   min(value) filter (where metric = 'eval_loss') as best_value, max(step) as final_step
 from training_log group by run"""
 
+_ALL_METRICS = """select run, step, metric, value from training_log
+union all select run, step, 'epoch', 0.5::double from training_log where metric = 'loss'"""
+
 _NAMED = "named as (select doc_id, case lang when 'es' then '{0}' else 'train' end as split from documents)"
 
 ORACLES = {
@@ -239,6 +242,14 @@ ORACLES = {
     "examples_masked": _with(
         EXAMPLES, "select language, repo, path, span_start, span_end, source, target from examples"
     ),
+    "examples_unmasked": _with(
+        DECLARATIONS,
+        """select path, span_start, snippet as source, target from declarations
+where length(snippet) - length(replace(snippet, chr(10), '')) + 1 >= 3""",
+    ),
+    "repo_list": rf"""select row_number() over (order by page_id % 2, page_id) - 1 as repo_ord, url,
+  case when len(parts) >= 2 then parts[-2] || '__' || parts[-1] else parts[-1] end as repo
+from (select page_id, url, string_split(regexp_replace(rtrim(url, '/'), '\.git$', ''), '/') as parts from pages)""",
     "sample_ids": _with(EXAMPLES, "select path, span_start, sample_id from examples"),
     "mask_header": _with(
         CODE_FILES,
@@ -402,6 +413,27 @@ from compared group by rollup(language)""",
     "name_report": _with(
         COMPARED + ", " + _report("compared", "truth", "guess"), f"select {_REPORT_COLUMNS} from report"
     ),
+    "caller_metric": _with(
+        SCORED,
+        """select language, count(*) as n, round(avg((left(target, 2) = left(top_prediction, 2))::int), 6) as same_start
+from scored group by language""",
+    ),
+    "summary_sink": _with(
+        COMPARED + ", " + _report("compared", "truth", "guess"),
+        """select '20240102_030405' as timestamp, 'm' as model_path, 'cpu' as device, 90.0::double as elapsed_time_seconds,
+  count(*) as n, round(avg(hit::int), 6) as exact_match, round(avg(hit::int), 6) as exact_match_case_insensitive,
+  round(avg(list_contains(list_transform(predictions, lambda x: lower(x)), truth)::int), 6) as topk_accuracy,
+  round(avg(edit_distance), 6) as avg_edit_distance, round(count(*) / 90.0::double, 6) as samples_per_second,
+  (select round(sum(precision * support) / sum(support)::double, 6) from scores) as precision,
+  (select round(sum(recall * support) / sum(support)::double, 6) from scores) as recall,
+  (select round(sum(f1_score * support) / sum(support)::double, 6) from scores) as f1_score,
+  sum(hit::int)::bigint as correct_predictions,
+  (select count(distinct name) from (select truth as name from compared union all select guess from compared))
+    as class_distribution,
+  min(edit_distance)::double as distance_min, max(edit_distance)::double as distance_max,
+  round(avg(edit_distance), 6) as distance_mean, round(quantile_cont(edit_distance, 0.5)::double, 6) as distance_median
+from compared""",
+    ),
     "metrics_display": _with(
         SCORED,
         """, m as (select count(*) as n, avg(exact_match::int) as em, avg(exact_match_ci::int) as ci,
@@ -442,6 +474,7 @@ select label, value from (
         """select sample_id, array_to_string(list_transform(string_split(target, ''), lambda x: unicode(x)), ',') as input_ids
 from gold""",
     ),
+    "row_accounting": "select count(*) as rows from documents",
     "label_mask": _with(
         SHORT_TOKENS,
         f"select sample_id, {_list_text('input_ids')} as input_ids, {_list_text('labels')} as labels from labelled",
@@ -488,11 +521,8 @@ from (select doc_id, list_transform(string_split(text, ' '), lambda w: length(w)
         TRAINING_LOG,
         "select run, step as line, row_number() over (partition by run order by step) - 1 as x, value from training_log",
     ),
-    "training_log_csv": _with(
-        TRAINING_LOG,
-        """select run, step, metric, value from training_log
-union all select run, step, 'epoch', 0.5::double from training_log where metric = 'loss'""",
-    ),
+    "training_log_csv": _with(TRAINING_LOG, _ALL_METRICS),
+    "training_log_files": _with(TRAINING_LOG, _ALL_METRICS),
     "artifact_listing": r"""select case when contains(path, '/') then regexp_extract(path, '^(.*)/', 1) else 'root' end as folder,
   string_split(path, '/')[-1] as name
 from (select regexp_extract(url, '^https?://[^/]*/(.*)$', 1) as path from pages) order by folder, name""",
@@ -535,4 +565,5 @@ from (select regexp_extract(url, '^https?://[^/]*/(.*)$', 1) as path from pages)
   round(avg(exact_match::int), 6) as exact_match from scored""",
     ),
     "stream_log_errors": _with(LOGS, "select ts, script, level, message from logs where level = 'ERROR'"),
+    "stream_callback": _with(TRAINING_LOG, "select run, step, metric, value from training_log"),
 }

@@ -1,6 +1,6 @@
 """The registered queries: each takes a session and the folder of the given tables."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import arrays, prompts, text
@@ -14,7 +14,9 @@ from ..session import shared_folder, stage
 from ..sources import examples as example_files
 from ..sources import logs
 from ..sources.files import scan_accounts, scan_sources
-from ..sources.results import write_metrics, write_results
+from ..sources.repos import read_repo_list
+from ..sources.results import summary_row, write_metrics, write_results, write_summary
+from ..sources.store import Store
 from ..streaming import jobs
 from . import build, tables
 
@@ -66,10 +68,27 @@ def examples_masked(spark, sf_dir):
     return _examples(spark, sf_dir).select("language", "repo", "path", "span_start", "span_end", "source", "target")
 
 
+def examples_unmasked(spark, sf_dir):
+    """The mask is a choice: here names stay, unlike in the headers that are masked afterwards."""
+    found = rows_of.mask_sources(_examples(spark, sf_dir, mask=False), mask=False)
+    return found.select("path", "span_start", "source", "target")
+
+
 def sample_ids(spark, sf_dir):
     return _examples(spark, sf_dir).select("path", "span_start", "sample_id")
 
 
+def repo_list(spark, sf_dir):
+    """Two lists with comments and blank lines, one per parity of the page, read in the order of their names."""
+    folder = shared_folder(spark, "lists")
+    pages = tables.table(spark, sf_dir, "pages").select("page_id", "url")
+    entry = F.concat(F.lit("# page "), F.col("page_id").cast("string"), F.lit("\n\n  "), F.col("url"), F.lit(" "))
+    for name, rest in {"a": 0, "b": 1}.items():
+        listed = pages.filter(F.col("page_id") % 2 == rest).repartitionByRange("page_id").sortWithinPartitions("page_id")
+        listed.select(entry.alias("value")).write.text(f"{folder}/{name}")
+    return read_repo_list(spark, f"{folder}/*")
+
+
 def mask_header(spark, sf_dir):
     files = tables.code_files(spark, sf_dir)
     return files.select("language", "path", masked_header(F.col("content"), F.col("language")).alias("masked"))
@@ -261,9 +280,9 @@ def beam_ranks(spark, sf_dir):
 
 
 def _grouped(spark, sf_dir):
-    found = _examples(spark, sf_dir)
-    lists = generations.group_beams(tables.beams(found), K)
-    return scoring.align_predictions(tables.gold(found), lists, K)
+    beams = stage(tables.beams(_examples(spark, sf_dir), "language", "target"), "beams")
+    lists = generations.group_beams(beams, K)
+    return scoring.align_predictions(tables.gold(beams.filter("beam = 1")), lists, K)
 
 
 def _scored(spark, sf_dir):
@@ -317,6 +336,40 @@ def language_stats(spark, sf_dir):
     return _rounded(lenient.language_stats(_compared(spark, sf_dir), overall=True))
 
 
+def caller_metric(spark, sf_dir):
+    """A caller's own score: do target and answer begin with the same two letters?"""
+
+    def same_start(target, top):
+        return (target.str[:2] == top.str[:2]).astype(float)
+
+    metrics = {"same_start": (same_start, ["target", "top_prediction"])}
+    return _rounded(scoring.caller_metrics(_scored(spark, sf_dir), metrics, by=["language"]))
+
+
+def summary_sink(spark, sf_dir):
+    """The nested summary of a test, written and read again."""
+    compared = _compared(spark, sf_dir)
+    job = dict(model_path="m", test_data_path="t", device="cpu", batch_size=8, elapsed_time_seconds=90.0)
+    summary = summary_row(
+        lenient.report_metrics(compared, "sample_id", K),
+        classification.weighted_scores(compared, "truth", "guess"),
+        scoring.edit_distance_stats(compared),
+        lenient.class_distribution(compared),
+        "20240102_030405",
+        **job,
+    )
+    tables_of = {"per_language": lenient.language_stats(compared)}
+    folder = write_summary(summary, tables_of, shared_folder(spark, "tests"), "20240102_030405")
+    back = spark.read.schema(summary.schema).json(f"{folder}/summary")
+    flat = back.select(
+        "timestamp", "model_path", "performance_metrics.*",
+        *[f"traditional_metrics.{name}" for name in ("precision", "recall", "f1_score", "correct_predictions",
+                                                     "class_distribution")],
+        *[F.col(f"edit_distance_stats.{name}").alias(f"distance_{name}") for name in ("min", "max", "mean", "median")],
+    )
+    return _rounded(flat).drop("k", "batch_size")
+
+
 def _label_pairs(spark, sf_dir):
     return tables.table(spark, sf_dir, "labels").select("quality", "toxic")
 
@@ -403,6 +456,15 @@ def encode_texts(spark, sf_dir):
     return encoded.select("sample_id", _joined(F.col("input_ids")).alias("input_ids"))
 
 
+def row_accounting(spark, sf_dir):
+    """Rows counted while they pass on to a sink."""
+    seen = Observation()
+    batches.observe_rows(batches.causal_labels(tables.tokens(spark, sf_dir)), seen).write.format("noop").mode(
+        "overwrite"
+    ).save()
+    return spark.createDataFrame([(seen.get["rows"],)], "rows bigint")
+
+
 def label_mask(spark, sf_dir):
     rows = batches.causal_labels(tables.tokens(spark, sf_dir), max_length=512)
     return rows.select(
@@ -474,15 +536,34 @@ def curve_positions(spark, sf_dir):
     )
 
 
-def training_log_csv(spark, sf_dir):
+LAYOUTS = [["loss", "epoch", "step"], ["eval_loss", "step"]]
+
+
+def _training_lines(spark, sf_dir):
     """Loss and evaluation rows of different width under one repeated header."""
     events = tables.table(spark, sf_dir, "events").filter("event_type in ('view', 'error', 'click')")
     line = F.expr("""case event_type
         when 'view' then concat(cast(value as string), ',0.5,', cast(event_id as string))
         when 'error' then concat(cast(value as string), ',', cast(event_id as string))
         else 'loss,epoch,step' end""")
-    lines = events.select(F.expr("'run' || cast(user_id % 3 as string)").alias("run"), line.alias("value"))
-    return logs.training_log_rows(lines, [["loss", "epoch", "step"], ["eval_loss", "step"]])
+    run = F.expr("'run' || cast(user_id % 3 as string)")
+    return events.select(run.alias("run"), line.alias("value"), (F.col("event_id") % 2).alias("part"))
+
+
+def training_log_csv(spark, sf_dir):
+    return logs.training_log_rows(_training_lines(spark, sf_dir).drop("part"), LAYOUTS)
+
+
+def _folder_run() -> Column:
+    """Runs lie in folders named run=..."""
+    return F.regexp_replace("run", "\\Arun=", "")
+
+
+def training_log_files(spark, sf_dir):
+    """The same rows from files, one folder per run."""
+    folder = shared_folder(spark, "logs")
+    _training_lines(spark, sf_dir).select("run", "value").write.partitionBy("run").text(folder)
+    return logs.read_training_log(spark, f"{folder}/*", LAYOUTS).withColumn("run", _folder_run())
 
 
 def _artifacts(spark, sf_dir):
@@ -609,20 +690,16 @@ def _written_repos(spark, sf_dir):
     )
 
     def save(batches):
-        import os
-
         import pandas as pd
 
+        store = Store()
         for batch in batches:
             for repo, path, content in batch.itertuples(index=False):
-                place = os.path.join(folder.removeprefix("file:"), repo, path)
-                os.makedirs(os.path.dirname(place), exist_ok=True)
-                with open(place, "wb") as out:
-                    out.write(content.replace("\n", "\r\n").encode())
+                store.write(f"{folder}/{repo}/{path}", content.replace("\n", "\r\n").encode())
             yield pd.DataFrame({"written": [len(batch)]})
 
     files.mapInPandas(save, "written bigint").agg(F.sum("written")).collect()
-    root = F.concat(F.lit(folder.removeprefix("file:") + "/"), "repo")
+    root = F.concat(F.lit(f"{folder}/"), "repo")
     repos = files.select("repo").distinct().unionAll(spark.createDataFrame([("gone",)], "repo string"))
     return repos.select(F.lit(0).cast("bigint").alias("repo_ord"), "repo", root.alias("root"))
 
@@ -639,9 +716,22 @@ def scan_counts(spark, sf_dir):
 # Streams
 
 
+def _in_two_parts(lines: DataFrame, folder: str, look) -> None:
+    """Write one part of the log lines and look at them, then the other; the second look is a restart."""
+    for part in (0, 1):
+        grown = lines.filter(F.col("part") == part).drop("part")
+        keys = [name for name in grown.columns if name != "value"]
+        grown.write.mode("append").partitionBy(*keys).text(folder)
+        look().awaitTermination()
+
+
 def stream_training_log(spark, sf_dir):
-    log = tables.training_log(tables.table_stream(spark, sf_dir, "events"))
-    return _finished(spark, jobs.best_so_far(log))
+    """A job follows logs, stops, and goes on after more has been written."""
+    folder = shared_folder(spark, "stream")
+    best = jobs.best_so_far(jobs.follow_training_log(spark, f"{folder}/logs", LAYOUTS))
+    look = lambda: jobs.keep_latest(best, f"{folder}/result", f"{folder}/checkpoint")
+    _in_two_parts(_training_lines(spark, sf_dir), f"{folder}/logs", look)
+    return jobs.read_latest(spark, f"{folder}/result", best.schema).withColumn("run", _folder_run())
 
 
 def stream_scores(spark, sf_dir):
@@ -658,13 +748,27 @@ def _finished(spark, aggregate: DataFrame) -> DataFrame:
 
 
 def stream_log_errors(spark, sf_dir):
-    lines = tables.log_lines(tables.table_stream(spark, sf_dir, "events"))
+    """Error lines of growing run logs, each once although the job is restarted."""
     folder = shared_folder(spark, "stream")
-    errors = _log_columns(logs.error_lines(logs.parse_run_log(lines)))
-    jobs.append_log_events(errors, f"{folder}/result", f"{folder}/checkpoint").awaitTermination()
+    events = tables.table(spark, sf_dir, "events")
+    errors = _log_columns(jobs.follow_errors(spark, f"{folder}/logs"))
+    look = lambda: jobs.append_log_events(errors, f"{folder}/result", f"{folder}/checkpoint")
+    _in_two_parts(tables.log_lines(events, "event_id % 2 as part"), f"{folder}/logs", look)
     return spark.read.schema(errors.schema).parquet(f"{folder}/result")
 
 
+def stream_callback(spark, sf_dir):
+    """A callback gets the rows of each batch of log events; this one stores them under the batch's number."""
+    folder = shared_folder(spark, "stream")
+    log = tables.training_log(tables.table_stream(spark, sf_dir, "events"))
+
+    def store(rows, batch_id):
+        rows.write.mode("overwrite").parquet(f"{folder}/result/batch={batch_id}")
+
+    jobs.on_log_events(log, store, f"{folder}/checkpoint").awaitTermination()
+    return spark.read.schema(log.schema).parquet(f"{folder}/result").select(*log.columns)
+
+
 QUERIES = {
     "extract_python": _extract("python"),
     "extract_java": _extract("java"),
@@ -672,8 +776,10 @@ QUERIES = {
     "extract_sql": extract_sql,
     "examples_masked": examples_masked,
     "sample_ids": sample_ids,
+    "examples_unmasked": examples_unmasked,
     "mask_header": mask_header,
     "repo_slug": repo_slug,
+    "repo_list": repo_list,
     "decode_source": decode_source,
     "text_columns": text_columns,
     "clean_examples": clean_examples,
@@ -715,6 +821,8 @@ QUERIES = {
     "classification_report": classification_report,
     "weighted_prf": weighted_prf,
     "name_report": name_report,
+    "caller_metric": caller_metric,
+    "summary_sink": summary_sink,
     "metrics_display": metrics_display,
     "sample_view": sample_view,
     "first_samples": first_samples,
@@ -722,6 +830,7 @@ QUERIES = {
     "failed_batches": failed_batches,
     "batch_accuracy": batch_accuracy,
     "encode_texts": encode_texts,
+    "row_accounting": row_accounting,
     "label_mask": label_mask,
     "seq2seq_arrays": seq2seq_arrays,
     "collate_batches": collate_batches,
@@ -735,6 +844,7 @@ QUERIES = {
     "loss_curve": loss_curve,
     "curve_positions": curve_positions,
     "training_log_csv": training_log_csv,
+    "training_log_files": training_log_files,
     "artifact_listing": artifact_listing,
     "parse_run_logs": parse_run_logs,
     "log_errors": log_errors,
@@ -750,4 +860,5 @@ QUERIES = {
     "stream_training_log": stream_training_log,
     "stream_scores": stream_scores,
     "stream_log_errors": stream_log_errors,
+    "stream_callback": stream_callback,
 }

@@ -100,9 +100,10 @@ def training_log(events: DataFrame) -> DataFrame:
     )
 
 
-def log_lines(events: DataFrame) -> DataFrame:
-    """A run-log line per event; works on a stream too."""
-    return events.select(
+def log_lines(events: DataFrame, *columns: str) -> DataFrame:
+    """A run-log line per event, next to further columns."""
+    return events.selectExpr("*", *columns).select(
+        *[column.rsplit(" ", 1)[-1] for column in columns],
         F.concat(
             F.left(F.col("ts").cast("string"), F.lit(19)),
             F.lit(" - "),
@@ -115,6 +116,10 @@ def log_lines(events: DataFrame) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a stream of files."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    """A given table, one file or a folder of files, as a stream of files."""
+    path = f"{sf_dir}/{name}.parquet"
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)

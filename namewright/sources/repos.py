@@ -9,8 +9,9 @@ from ..functions.text import repo_slug, trim_ws
 def read_repo_list(spark: SparkSession, path: str) -> DataFrame:
     """One row per listed URL with its place in the list; duplicates stay.
 
-    Several lists follow each other in the order of their paths. Blank lines and lines that start with ``#`` are skipped. A list is a small text
-    file, read whole so that the lines keep their order.
+    Several lists follow each other in the order of their paths. Blank lines and lines that
+    start with ``#`` are skipped. A list is a small text file, read whole so that the lines
+    keep their order.
     """
     lines = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r\n|\r|\n")).alias("line", "url")

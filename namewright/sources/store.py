@@ -53,6 +53,19 @@ class Store:
         for info in system.get_file_info(fs.FileSelector(base)):
             yield info.type == fs.FileType.Directory, f"{parent}/{info.base_name}", info.size or 0
 
+    def write(self, path: str, content: bytes) -> None:
+        """Write a file, with the folders it lies in."""
+        plain = self._plain(path)
+        if plain is not None:
+            os.makedirs(os.path.dirname(plain), exist_ok=True)
+            with open(plain, "wb") as file:
+                file.write(content)
+            return
+        system, base = self._remote(path)
+        system.create_dir(base.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(base) as file:
+            file.write(content)
+
     def open(self, path: str):
         """A file for reading at any place."""
         plain = self._plain(path)

@@ -33,6 +33,17 @@ def test_score_rows(spark):
     assert score(spark, [(1, "A b", [" A b "])], normalize="strip").first().exact_match
 
 
+def test_metrics_of_the_caller(spark):
+    data = [(1, "Ab", ["Abc"]), (2, "Ab", ["x"]), (3, "B", ["B"]), (4, None, ["B"])]
+    scored = score(spark, data)
+    first = lambda target, top: (target.str[0] == top.str[0]).astype(float).where(target.notna())
+    metrics = {"first": (first, ["target", "top_prediction"])}
+    assert tuple(scoring.caller_metrics(scored, metrics).first()) == (4, 0.5)  # without a target no score, which counts as 0
+    by_target = scoring.caller_metrics(scored, metrics, by=["target"]).orderBy("target").collect()
+    assert [tuple(row) for row in by_target] == [(None, 1, 0.0), ("Ab", 2, 0.5), ("B", 1, 1.0)]
+    assert scoring.caller_metrics(scored.limit(0), metrics, by=["target"]).count() == 0
+
+
 def test_headline_of_nothing_is_zero(spark):
     row = scoring.headline_metrics(score(spark, [])).first()
     assert (row.n, row.exact_match, row.topk_accuracy, row.avg_levenshtein) == (0, 0.0, 0.0, 0.0)

@@ -155,6 +155,16 @@ def test_stream_of_errors_appends_once(spark, tmp_path):
         assert spark.read.parquet(out).count() == expected
 
 
+def test_store_writes_below_any_root(tmp_path):
+    files = store.Store()
+    for root in (str(tmp_path / "a"), f"file:{tmp_path}/b", f"file://{tmp_path}/c"):
+        files.write(f"{root}/_x/.y", b"1\n")
+        files.write(f"{root}/_x/.y", b"2\n")
+        with files.open(f"{root}/_x/.y") as file:
+            assert file.read() == b"2\n"
+    assert sorted(os.listdir(tmp_path)) == ["a", "b", "c"]
+
+
 def test_a_faulty_store_ends_the_scan():
     tries = []
 
