@@ -24,9 +24,9 @@ class Rule(NamedTuple):
     most: float | None = None
 
 
-# Limits of the production query; all ratios are per word or per line.
+# All ratios are per word or per line, so long texts are judged like others and have no limit of their own.
 RULES = (
-    Rule("n_words", 50, 1_000_000),
+    Rule("n_words", 50, None),
     Rule("mean_word_chars", 2, 14),
     Rule("symbols_per_word", None, 0.25),
     Rule("bars_per_word", None, 0.25),
@@ -36,6 +36,8 @@ RULES = (
     Rule("ellipsis_lines_per_line", None, 0.5),
     Rule("bullet_lines_per_line", None, 0.95),
 )
+# What the SQL of op1_quality_rules says, which also rejects texts of over a million words.
+SQL_RULES = (*RULES, Rule("n_words", None, 1_000_000))
 
 
 def _words(text: Column) -> Column:

@@ -9,7 +9,7 @@ from .exact_dedup import exact_dedup
 from .html_text import extract_main_text
 from .line_dedup import dedup_lines
 from .packing import pack, token_pieces
-from .quality import quality_report
+from .quality import SQL_RULES, quality_report
 from .sharding import assign_shards
 from .simhash import simhash_groups
 from .token_counts import token_counts
@@ -28,7 +28,7 @@ def read(spark, sf_dir, name, *columns):
 
 @query
 def op1_quality_rules(spark, sf_dir):
-    return quality_report(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return quality_report(read(spark, sf_dir, "documents", "doc_id", "text"), rules=SQL_RULES)
 
 
 @query
