@@ -58,12 +58,18 @@ class Codec:
                 known[word] = np.array(e.ids, dtype=self.kind).tobytes()
         return b"".join([known[w] for w in words])
 
+    def count(self, ids: bytes) -> int:
+        return len(ids) // np.dtype(self.kind).itemsize
+
+    def decode(self, ids: bytes) -> bytes:
+        """The text of ids, in UTF-8."""
+        return b" ".join(map(self.strings.__getitem__, np.frombuffer(ids, dtype=self.kind).tolist()))
+
     def ids_and_text(self, ids: bytes) -> tuple[int, str, str]:
         """Number of ids, and the digests of their decimal list and of the decoded text."""
         numbers = np.frombuffer(ids, dtype=self.kind).tolist()
         listed = " ".join(map(str, numbers)).encode()
-        decoded = b" ".join(map(self.strings.__getitem__, numbers))
-        return len(numbers), hashlib.sha256(listed).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        return len(numbers), hashlib.sha256(listed).hexdigest(), hashlib.sha256(self.decode(ids)).hexdigest()
 
 
 def codec(vocabulary: str = VOCABULARY) -> Codec:
@@ -147,9 +153,10 @@ def repeated_slots(docs: DataFrame, text: str, cut_bits: int, slot_bits: int) ->
 
 
 _FIRST_PASS = (
-    "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, "
+    "doc_id long, n_tokens long, ids binary, "
     "between array<binary>, keys array<binary>, part binary"
 )
+_IDS = "doc_id long, n_tokens long, ids binary"
 _RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -160,17 +167,17 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), kinds[t]) for c, t in zip(columns, types)], names)
 
 
-def encode_documents(
+def document_ids(
     docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY,
     cut_bits: int = CUT_BITS, slot_bits: int = SLOT_BITS,
 ) -> DataFrame:
-    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256), one per row of ``docs``.
+    """Rows (doc_id, n_tokens, ids), one per row of ``docs``; ``ids`` are numbers of the codec's ``kind``.
 
     Three passes. The first counts in which hash slots parts of chunks repeat. The second
     finishes documents without repeated parts on the spot. Of the others it encodes the
     joins and the parts that stand alone, and sends out each repeated part once per task.
     Those are then encoded once each, and the last pass puts their ids where the documents
-    have them. A missing text is empty: no ids, the digests of nothing. Repeated rows are
+    have them. A missing text is empty: no ids. Repeated rows are
     encoded each. Columns other than key and text are not read.
     """
     source = docs.select(F.col(key).cast("long").alias("doc_id"), whole_text(text).alias("_text"))
@@ -191,15 +198,16 @@ def encode_documents(
                         if len(sent) >= 1 << 18:
                             sent.clear()
                         sent.add(name)
-                        rows.append((None, None, None, None, None, [name], raw[a:b]))
+                        rows.append((None, None, None, None, [name], raw[a:b]))
                     between.append(tool.encode(raw[at:a]))
                     keys.append(name)
                     at = b
                 if keys:
                     between.append(tool.encode(raw[at:]))
-                    rows.append((doc_id, None, None, None, between, keys, None))
+                    rows.append((doc_id, None, None, between, keys, None))
                 else:
-                    rows.append((doc_id, *tool.ids_and_text(tool.encode(raw)), None, None, None))
+                    ids = tool.encode(raw)
+                    rows.append((doc_id, tool.count(ids), ids, None, None, None))
             yield _batch(rows, _FIRST_PASS)
 
     passed = stage(
@@ -233,9 +241,35 @@ def encode_documents(
                 pieces = [ids for known in zip(between, [None] * len(between)) for ids in known]
                 for part in parts:
                     pieces[2 * part["pos"] + 1] = part["ids"]
-                rows.append((doc_id, *tool.ids_and_text(b"".join(pieces[:-1]))))
-            yield _batch(rows, _RESULT)
+                ids = b"".join(pieces[:-1])
+                rows.append((doc_id, tool.count(ids), ids))
+            yield _batch(rows, _IDS)
 
     joined = waiting.select("_row", "doc_id", "between").join(filled, "_row")
-    assembled = joined.select("doc_id", "between", "parts").mapInArrow(last, _RESULT)
-    return passed.filter("ids_sha256 is not null").select(*assembled.columns).unionByName(assembled)
+    assembled = joined.select("doc_id", "between", "parts").mapInArrow(last, _IDS)
+    return passed.filter("ids is not null").select(*assembled.columns).unionByName(assembled)
+
+
+def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Rows (doc_id, text): the decoded text of every row (doc_id, ids)."""
+
+    def decoded(batches):
+        tool = codec(vocabulary)
+        for batch in batches:
+            texts = [tool.decode(ids).decode() for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    return encoded.select("doc_id", "ids").mapInArrow(decoded, "doc_id long, text string")
+
+
+def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, **options) -> DataFrame:
+    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256): the digests of ``document_ids`` and of its decoded text."""
+
+    def digests(batches):
+        tool = codec(vocabulary)
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            yield _batch([(doc_id, *tool.ids_and_text(ids)) for doc_id, ids in rows], _RESULT)
+
+    ids = document_ids(docs, vocabulary=vocabulary, **options)
+    return ids.select("doc_id", "ids").mapInArrow(digests, _RESULT)
