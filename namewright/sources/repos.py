@@ -13,9 +13,11 @@ def read_repo_list(spark: SparkSession, path: str) -> DataFrame:
     start with ``#`` are skipped. A list is a small text file, read whole so that the lines
     keep their order.
     """
-    lines = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r\n|\r|\n")).alias("line", "url")
-    )
-    urls = lines.withColumn("url", trim_ws(F.col("url"))).filter((F.col("url") != "") & ~F.col("url").startswith("#"))
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("file", "line")) - 1
-    return urls.select(place.cast("bigint").alias("repo_ord"), "url", repo_slug(F.col("url")).alias("repo"))
+    texts = spark.read.text(path, wholetext=True)
+    urls = F.filter(F.transform(F.split("value", "\r\n|\r|\n"), trim_ws), lambda url: (url != "") & ~url.startswith("#"))
+    lists = texts.select(F.col("_metadata.file_path").alias("file"), urls.alias("urls"))
+    # One small row per file; only these are numbered in one task.
+    before = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("file")) - F.col("n")
+    starts = lists.select("file", F.size("urls").cast("bigint").alias("n")).select("file", before.alias("start"))
+    lines = lists.select("file", F.posexplode("urls").alias("line", "url")).join(starts, "file")
+    return lines.select((F.col("start") + F.col("line")).alias("repo_ord"), "url", repo_slug(F.col("url")).alias("repo"))
