@@ -86,4 +86,30 @@ ORACLES = {
         select doc_id, first_value(doc_id) over best as keep_id, count(*) over (partition by norm) as group_size,
                row_number() over best = 1 as kept, sha256(norm) as text_sha256
         from d window best as (partition by norm order by n desc, doc_id nulls last, rid)""",
+    "op12_fill_in_middle": """
+        with d as (
+            select row_number() over () as rid, doc_id, coalesce(text, '') as t,
+                   regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+                   sha256('1:' || coalesce(doc_id::varchar, '')) as h
+            from documents),
+        drawn as (
+            select rid, doc_id, t, u, len(u) as n, ('0x' || substr(h, 1, 8))::bigint as h1, ('0x' || substr(h, 9, 8))::bigint as h2,
+                   ('0x' || substr(h, 17, 8))::bigint as h3, ('0x' || substr(h, 25, 8))::bigint as h4
+            from d),
+        cuts as (
+            select *, least(h1 % (n + 1), h2 % (n + 1)) as low, greatest(h1 % (n + 1), h2 % (n + 1)) as high,
+                   case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+                        when h4 % 100 < 20 then 'spm' else 'psm' end as form
+            from drawn),
+        parts as (
+            select *, array_to_string(u[1:low], '') as prefix, array_to_string(u[low + 1:high], '') as middle,
+                   array_to_string(u[high + 1:n], '') as suffix
+            from cuts)
+        select doc_id, n::bigint as n, form,
+               case when form <> 'plain' then length(prefix) end::bigint as prefix_chars,
+               case when form <> 'plain' then length(middle) end::bigint as middle_chars,
+               sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+               sha256(t) as restored_sha256
+        from parts""",
 }

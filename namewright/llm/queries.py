@@ -5,11 +5,14 @@ from pyspark.sql import functions as F
 from .bpe import encode_documents
 from .chat import format_trees, read_loss, read_turns
 from .common import range_ranked
+from .conversation_repair import damage_and_repair
 from .exact_dedup import exact_dedup
+from .fill_middle import fill_in_middle, restored
 from .html_text import extract_main_text
 from .line_dedup import dedup_lines
 from .packing import pack, token_pieces
 from .quality import SQL_RULES, quality_report
+from .quality_model import fit, score_documents
 from .sharding import assign_shards
 from .simhash import simhash_groups
 from .token_counts import token_counts
@@ -118,3 +121,29 @@ def op9_line_dedup(spark, sf_dir):
 @query
 def op10_exact_dedup(spark, sf_dir):
     return exact_dedup(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op11_quality_classifier(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = fit(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    return score_documents(docs, model).select("_doc.doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op12_fill_in_middle(spark, sf_dir):
+    made = fill_in_middle(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return made.select(
+        "_doc.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        "output_sha256",
+        restored("output", "form")["sha256"].alias("restored_sha256"),
+    )
+
+
+@query
+def op13_conversation_repair(spark, sf_dir):
+    return damage_and_repair(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
