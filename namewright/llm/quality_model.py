@@ -13,6 +13,7 @@ from .common import whole_text
 
 FEATURE_BITS = 18
 SAMPLE_ROWS = 8192
+BROADCAST_ROWS = 1 << 20
 COST = 1.0
 EPOCHS = 30
 TOLERANCE = 1e-3
@@ -157,19 +158,21 @@ def class_counts(labelled: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray
 
 def fit(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-    sample_rows: int = SAMPLE_ROWS, bits: int = FEATURE_BITS,
+    sample_rows: int = SAMPLE_ROWS, bits: int = FEATURE_BITS, broadcast_rows: int = BROADCAST_ROWS,
 ) -> Model:
     """Learn from the labelled rows of ``docs`` that are not held out.
 
     Log-count ratios come from all of them. The hinge-loss model is fitted in one task on a
     sample of at most ``sample_rows`` keys, those with the smallest hashes, one text each; keys with both labels
     count as the lower one there. Labels other than 0 and 1 are passed over. Without
-    labels the model scores every text 0.5.
+    labels the model scores every text 0.5. Up to ``broadcast_rows`` labels go to every task; more
+    are joined by a shuffle of keys and texts.
     """
     spark = docs.sparkSession
     known = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label")).filter("_label in (0, 1)")
     texts = docs.filter(~held_out(key)).select(F.col(key).alias("_key"), whole_text(text).alias("_text"))
-    positive, negative = class_counts(texts.join(known, "_key"), bits)
+    few = known.limit(broadcast_rows + 1).count() <= broadcast_rows
+    positive, negative = class_counts(texts.join(F.broadcast(known) if few else known, "_key"), bits)
     ratios = log_count_ratios(positive, negative).astype(np.float32)
     shared = spark.sparkContext.broadcast(ratios)
 

@@ -54,7 +54,7 @@ def test_sample_is_bounded_and_ratios_are_not(spark):
     rows = [(i, f"{'good' if i % 2 else 'bad'} common x{i}") for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
-    small, whole = (quality_model.fit(docs, labels, sample_rows=n) for n in (4, 8192))
+    small, whole = (quality_model.fit(docs, labels, sample_rows=n, broadcast_rows=n) for n in (4, 8192))
     assert np.array_equal(small.ratios, whole.ratios)
     learned = [t for i, t in rows if zlib.crc32(str(i).encode()) % 3 != 1]
     sums = np.ones((2, 1 << quality_model.FEATURE_BITS))
