@@ -42,7 +42,7 @@ ORACLES = {
                    greatest(n_words, 1) as nw, greatest(n_lines, 1) as nl
             from counts)
         select * exclude (nw, nl),
-               not base_failed and n_words between 50 and 1000000 and word_chars / nw between 2 and 14
+               not base_failed and n_words >= 50 and word_chars / nw between 2 and 14
                and n_symbols / nw <= 0.25 and n_bars / nw <= 0.25 and n_shouts / nw <= 0.5
                and n_stop_words / nw >= 0.02 and n_dup_lines / nl <= 0.6
                and n_ellipsis_lines / nl <= 0.5 and n_bullet_lines / nl <= 0.95 as kept

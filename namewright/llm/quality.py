@@ -36,8 +36,6 @@ RULES = (
     Rule("ellipsis_lines_per_line", None, 0.5),
     Rule("bullet_lines_per_line", None, 0.95),
 )
-# What the SQL of op1_quality_rules says, which also rejects texts of over a million words.
-SQL_RULES = (*RULES, Rule("n_words", None, 1_000_000))
 
 
 def _words(text: Column) -> Column:

@@ -1,10 +1,10 @@
 """Texts of over a million words are judged by the same ratios as others."""
 
 import corpus_pipeline
-from namewright.llm import quality
+from namewright.llm import quality, queries
 
 
-def test_quality_keeps_very_long_texts(spark):
+def test_quality_keeps_very_long_texts(spark, tmp_path):
     clean = "\n".join(f"the word{i} of page{i} and line{i} in book{i}" for i in range(130_000))
     junk = "\n".join(f"the #a{i} #b{i} $c{i} in #d{i} of" for i in range(150_000))
     rows = [(1, clean), (2, junk)]
@@ -12,5 +12,8 @@ def test_quality_keeps_very_long_texts(spark):
     got = {r.doc_id: r for r in quality.quality_report(table).collect()}
     assert all(got[k].n_words > 1_000_000 for k in (1, 2))
     assert got[1].kept and not got[2].kept and not got[2].base_failed
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    judged = {r.doc_id: r.kept for r in queries.op1_quality_rules(spark, str(tmp_path)).collect()}
+    assert judged == {1: True, 2: False}
     kept = dict(corpus_pipeline.STAGES)["quality_rules"](spark, table, "")
     assert [r.doc_id for r in kept.select("doc_id").collect()] == [1]
