@@ -2,6 +2,8 @@
 
 import hashlib
 import os
+from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +18,10 @@ from .common import BLANKS, whole_text
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 8
 CUT_BITS = 9
-SLOT_BITS = 26
+LEAST_SLOT_BITS, MOST_SLOT_BITS = 16, 29
+SLOTS_PER_PART = 16
 WORDS_IN_MEMORY = 1 << 18
+LONGEST_REMEMBERED = 64
 _CODECS: dict = {}
 _BLANK_BYTES = np.zeros(256, dtype=bool)
 _BLANK_BYTES[[ord(c) for c in BLANKS]] = True
@@ -26,8 +30,8 @@ _BLANK_BYTES[[ord(c) for c in BLANKS]] = True
 class Codec:
     """Encodes and decodes text with a tokenizers file in which white space ends every token.
 
-    Words (text between ASCII blanks) encode alike wherever they stand, so their ids are
-    remembered in a table of bounded size. Without a decoder in the file, decoding joins
+    Words (text between ASCII blanks) encode alike wherever they stand, so the ids of those of
+    up to 64 bytes are remembered in a table of bounded size. Without a decoder in the file, decoding joins
     the tokens' strings with spaces; both directions are lists to join.
     """
 
@@ -54,8 +58,9 @@ class Codec:
                 missing = set(words)
             order = list(missing)
             encoded = self.tokenizer.encode_batch_fast([w.decode() for w in order], add_special_tokens=False)
-            for word, e in zip(order, encoded):
-                known[word] = np.array(e.ids, dtype=self.kind).tobytes()
+            fresh = {w: np.array(e.ids, dtype=self.kind).tobytes() for w, e in zip(order, encoded)}
+            known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST_REMEMBERED)
+            return b"".join([known[w] if w in known else fresh[w] for w in words])
         return b"".join([known[w] for w in words])
 
     def count(self, ids: bytes) -> int:
@@ -112,79 +117,109 @@ def part_key(part: bytes) -> bytes:
     return xxhash.xxh3_128_digest(part)
 
 
-def _slots(key: bytes, slot_bits: int) -> tuple[int, int]:
-    mask = (1 << slot_bits) - 1
+class Slots(NamedTuple):
+    """Which parts of chunks repeat: a bit table of 2**bits slots for the parts whose key starts with ``skip`` zero bits."""
+
+    table: np.ndarray
+    bits: int
+    skip: int
+
+    def repeated(self, key: bytes) -> bool:
+        return reusable(key, self.skip) and all(self.table[s >> 6] >> (s & 63) & 1 for s in places(key, self.bits))
+
+
+def places(key: bytes, bits: int) -> tuple[int, int]:
+    """A part's two slots."""
+    mask = (1 << bits) - 1
     return int.from_bytes(key[:8], "little") & mask, int.from_bytes(key[8:], "little") & mask
 
 
-def repeated_slots(docs: DataFrame, text: str, cut_bits: int, slot_bits: int) -> np.ndarray:
-    """A bit table: which of 2**slot_bits hash slots hold two parts or more of the whole corpus.
+def reusable(key: bytes, skip: int) -> bool:
+    return not skip or int.from_bytes(key[:8], "little") >> (64 - skip) == 0
+
+
+def table_size(n_parts: int) -> tuple[int, int]:
+    """(bits, skip): 16 slots a part, up to 64 MB; of more parts than half its slots only a share of keys is looked up."""
+    bits = min(max((SLOTS_PER_PART * n_parts).bit_length(), LEAST_SLOT_BITS), MOST_SLOT_BITS)
+    return bits, max(0, (2 * n_parts >> bits).bit_length())
+
+
+def repeated_slots(docs: DataFrame, text: str, cut_bits: int, slot_bits: int | None = None) -> Slots:
+    """Which slots hold two parts or more of the whole corpus.
 
     A part has two slots, and every part that occurs twice has both bits set. A part that
-    shares both slots with others by chance has, too; it is only moved in vain. The table is
-    bounded by ``slot_bits`` (8 MB), and in a corpus of far more parts than slots it ends
-    up full, which costs data movement but no result; raise ``slot_bits`` there.
+    shares both slots with others by chance has, too; it is only moved in vain. The table follows the
+    number of parts that the bytes of all texts make likely. A corpus of more parts than the largest table
+    holds looks up a share of the keys, so that moved data stay in proportion; the other
+    parts are encoded where they stand. Neither changes a result.
     """
+    whole = docs.select(whole_text(text).cast("binary").alias("raw"))
+    size = whole.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
+    bits, skip = (slot_bits, 0) if slot_bits else table_size(size >> cut_bits)
 
     def slots(batches):
         for batch in batches:
-            found = [
-                slot
-                for raw in batch.column(0).to_pylist()
-                for a, b in shared_parts(raw, cut_bits)
-                for slot in _slots(part_key(raw[a:b]), slot_bits)
-            ]
+            found = []
+            for raw in batch.column(0).to_pylist():
+                for a, b in shared_parts(raw, cut_bits):
+                    key = part_key(raw[a:b])
+                    if reusable(key, skip):
+                        found += places(key, bits)
             values, counts = np.unique(np.array(found, dtype=np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts)], ["slot", "n"])
 
-    counted = (
-        docs.select(whole_text(text).cast("binary").alias("raw"))
-        .mapInArrow(slots, "slot long, n long")
-        .groupBy("slot")
-        .agg(F.sum("n").alias("n"))
-    )
+    counted = whole.mapInArrow(slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
     words = (
         counted.filter("n > 1").groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     )
-    table = np.zeros(max(1, (1 << slot_bits) >> 6), dtype=np.int64)
+    table = np.zeros(max(1, (1 << bits) >> 6), dtype=np.int64)
     table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    return table
+    return Slots(table, bits, skip)
 
 
-_FIRST_PASS = (
-    "doc_id long, n_tokens long, ids binary, "
-    "between array<binary>, keys array<binary>, part binary"
-)
-_IDS = "doc_id long, n_tokens long, ids binary"
-_RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+class Finish(NamedTuple):
+    """What is kept of a document's ids: column definitions, and their values from (codec, ids)."""
 
+    columns: str
+    values: Callable[[Codec, bytes], tuple]
 
-def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<binary>": pa.list_(pa.binary())}
-    names, types = zip(*[field.split(" ") for field in schema.split(", ")])
-    columns = zip(*rows) if rows else [[]] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(list(c), kinds[t]) for c, t in zip(columns, types)], names)
 
+IDS = Finish("n_tokens long, ids binary", lambda tool, ids: (tool.count(ids), ids))
+DIGESTS = Finish("n_tokens long, ids_sha256 string, decoded_sha256 string", lambda tool, ids: tool.ids_and_text(ids))
+_KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<binary>": pa.list_(pa.binary())}
 
-def document_ids(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY,
-    cut_bits: int = CUT_BITS, slot_bits: int = SLOT_BITS,
+
+def _batch(rows: list[tuple], columns: str, key: pa.DataType) -> pa.RecordBatch:
+    """A batch of rows that start with the document's key."""
+    fields = [field.split(" ") for field in columns.split(", ")]
+    names, kinds = ["doc_id", *[name for name, _ in fields]], [key, *[_KINDS[kind] for _, kind in fields]]
+    values = zip(*rows) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(list(v), kind) for v, kind in zip(values, kinds)], names)
+
+
+def encoded_documents(
+    docs: DataFrame, finish: Finish, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY,
+    cut_bits: int = CUT_BITS, slot_bits: int | None = None,
 ) -> DataFrame:
-    """Rows (doc_id, n_tokens, ids), one per row of ``docs``; ``ids`` are numbers of the codec's ``kind``.
+    """Rows (doc_id, *finish.columns), one per row of ``docs``; keys keep their type.
 
     Three passes. The first counts in which hash slots parts of chunks repeat. The second
     finishes documents without repeated parts on the spot. Of the others it encodes the
     joins and the parts that stand alone, and sends out each repeated part once per task.
     Those are then encoded once each, and the last pass puts their ids where the documents
-    have them. A missing text is empty: no ids. Repeated rows are
+    have them. Of finished documents only what ``finish`` keeps is stored. A missing text is empty: no ids. Repeated rows are
     encoded each. Columns other than key and text are not read.
     """
-    source = docs.select(F.col(key).cast("long").alias("doc_id"), whole_text(text).alias("_text"))
-    table = docs.sparkSession.sparkContext.broadcast(repeated_slots(source, "_text", cut_bits, slot_bits))
+    source = docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("_text"))
+    shared = docs.sparkSession.sparkContext.broadcast(repeated_slots(source, "_text", cut_bits, slot_bits))
+    key_kind = source.schema["doc_id"].dataType.simpleString()
+    columns, values = finish
+    unfinished = "between array<binary>, keys array<binary>, part binary"
+    nothing = (None,) * len(columns.split(", "))
 
     def second(batches):
-        tool, slots = codec(vocabulary), table.value
+        tool, slots = codec(vocabulary), shared.value
         sent: set[bytes] = set()
         for batch in batches:
             rows = []
@@ -192,27 +227,26 @@ def document_ids(
                 keys, between, at = [], [], 0
                 for a, b in shared_parts(raw, cut_bits):
                     name = part_key(raw[a:b])
-                    if not all(slots[slot >> 6] >> (slot & 63) & 1 for slot in _slots(name, slot_bits)):
+                    if not slots.repeated(name):
                         continue
                     if name not in sent:
                         if len(sent) >= 1 << 18:
                             sent.clear()
                         sent.add(name)
-                        rows.append((None, None, None, None, [name], raw[a:b]))
+                        rows.append((None, *nothing, None, [name], raw[a:b]))
                     between.append(tool.encode(raw[at:a]))
                     keys.append(name)
                     at = b
                 if keys:
                     between.append(tool.encode(raw[at:]))
-                    rows.append((doc_id, None, None, between, keys, None))
+                    rows.append((doc_id, *nothing, between, keys, None))
                 else:
-                    ids = tool.encode(raw)
-                    rows.append((doc_id, tool.count(ids), ids, None, None, None))
-            yield _batch(rows, _FIRST_PASS)
+                    rows.append((doc_id, *values(tool, tool.encode(raw)), None, None, None))
+            yield _batch(rows, f"{columns}, {unfinished}", batch.schema.field(0).type)
 
     passed = stage(
         source.select("doc_id", F.col("_text").cast("binary").alias("raw"))
-        .mapInArrow(second, _FIRST_PASS)
+        .mapInArrow(second, f"doc_id {key_kind}, {columns}, {unfinished}")
         .withColumn("_row", F.monotonically_increasing_id()),
         "encoded",
     )
@@ -241,17 +275,23 @@ def document_ids(
                 pieces = [ids for known in zip(between, [None] * len(between)) for ids in known]
                 for part in parts:
                     pieces[2 * part["pos"] + 1] = part["ids"]
-                ids = b"".join(pieces[:-1])
-                rows.append((doc_id, tool.count(ids), ids))
-            yield _batch(rows, _IDS)
+                rows.append((doc_id, *values(tool, b"".join(pieces[:-1]))))
+            yield _batch(rows, columns, batch.schema.field(0).type)
 
     joined = waiting.select("_row", "doc_id", "between").join(filled, "_row")
-    assembled = joined.select("doc_id", "between", "parts").mapInArrow(last, _IDS)
-    return passed.filter("ids is not null").select(*assembled.columns).unionByName(assembled)
+    assembled = joined.select("doc_id", "between", "parts").mapInArrow(last, f"doc_id {key_kind}, {columns}")
+    finished = passed.filter("between is null and part is null")
+    return finished.select(*assembled.columns).unionByName(assembled)
+
+
+def document_ids(docs: DataFrame, **options) -> DataFrame:
+    """Rows (doc_id, n_tokens, ids); ``ids`` are numbers of the codec's ``kind``. Options as of ``encoded_documents``."""
+    return encoded_documents(docs, IDS, **options)
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """Rows (doc_id, text): the decoded text of every row (doc_id, ids)."""
+    key_kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def decoded(batches):
         tool = codec(vocabulary)
@@ -259,17 +299,9 @@ def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFr
             texts = [tool.decode(ids).decode() for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(decoded, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(decoded, f"doc_id {key_kind}, text string")
 
 
-def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, **options) -> DataFrame:
-    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256): the digests of ``document_ids`` and of its decoded text."""
-
-    def digests(batches):
-        tool = codec(vocabulary)
-        for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            yield _batch([(doc_id, *tool.ids_and_text(ids)) for doc_id, ids in rows], _RESULT)
-
-    ids = document_ids(docs, vocabulary=vocabulary, **options)
-    return ids.select("doc_id", "ids").mapInArrow(digests, _RESULT)
+def encode_documents(docs: DataFrame, **options) -> DataFrame:
+    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256): digests of each document's ids and of the text they decode to."""
+    return encoded_documents(docs, DIGESTS, **options)

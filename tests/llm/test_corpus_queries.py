@@ -7,6 +7,7 @@ import duckdb
 import pyarrow.parquet as pq
 import pytest
 from conftest import DATA
+from test_near_copies import brute_first_keys
 from test_operators import BLANKS, brute_counts, brute_fingerprint, components, sha
 
 import corpus_pipeline
@@ -156,7 +157,7 @@ def test_pipeline_against_brute_force(spark):
             if not bare or len(sites[bare] - {None}) < line_dedup.MIN_SITES or first[bare] == d["doc_id"]
         ]
         texts.append((d["doc_id"], "\n".join(stays)))
-    chosen = {least for _, _, least in near_groups(texts)}
+    chosen = set(brute_first_keys(texts))
     check_packing(corpus_pipeline.run(spark, DATA).collect(), [t for t in texts if t[0] in chosen])
 
 
