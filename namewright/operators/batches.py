@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import IGNORED, attention_mask, mask_prompt, pad_right, truncate
+from ..session import stage
 from .joins import join_on
 from .ranking import seeded_rank, with_batch
 
@@ -35,8 +36,10 @@ def seq2seq_pair(encoded: DataFrame, max_source: int = 1024, max_target: int = 3
 def form_batches(encoded: DataFrame, key: str, batch_size: int, seed: int = 42) -> DataFrame:
     """Add ``rank``, ``batch_id`` and ``longest``, the most ids of a row of the batch, in the seeded order.
 
-    Only keys and lengths are ordered; the arrays meet their batch in one join. Keys are unique.
+    The rows are stored once, so a tokenizer above them runs once. Only keys and lengths are
+    counted and ordered; the arrays meet their batch in one join. Keys are unique.
     """
+    encoded = stage(encoded, "encoded")
     sizes = encoded.select(key, F.size("input_ids").alias("_size"))
     ranked = with_batch(seeded_rank(sizes, key, seed), batch_size)
     longest = F.max("_size").over(Window.partitionBy("batch_id"))

@@ -1,6 +1,8 @@
 """Run a caller's model or tokenizer over a table in batches."""
 
-from collections.abc import Iterator
+import uuid
+from collections import OrderedDict
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -8,17 +10,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+MODELS_IN_MEMORY = 2
+_models: OrderedDict[str, Callable] = OrderedDict()
+
+
+def made_once(token: str, make: Callable) -> Callable:
+    """What ``make()`` gives, made once per worker process for all tasks that know it by ``token``; the last two are kept."""
+    if token not in _models:
+        while len(_models) >= MODELS_IN_MEMORY:
+            _models.popitem(last=False)
+        _models[token] = make()
+    _models.move_to_end(token)
+    return _models[token]
+
+
 def predictor(make_predict, k: int, batch_size: int = 16, on_error: str = "empty"):
     """A column function from prompts to (predictions, failed).
 
-    ``make_predict()`` runs once per task and returns a function from a list of
+    ``make_predict()`` runs once per worker process and returns a function from a list of
     prompts to one list of texts per prompt. Only the prompt column travels to
     Python; the other columns stay in the JVM. A batch that fails gives ``k`` empty
     texts per prompt and marks them as failed, or ends the job with ``on_error="raise"``.
     """
+    token = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        predict = make_predict()
+        predict = made_once(token, make_predict)
         for prompts in batches:
             texts = prompts.tolist()
             results, failed = [], []
@@ -56,10 +73,11 @@ def prediction_accounts(predicted: DataFrame) -> DataFrame:
 
 
 def encode_batch(rows: DataFrame, text: Column, make_encode, output: str = "input_ids") -> DataFrame:
-    """Add token ids from a caller's tokenizer: list of texts to list of id lists."""
+    """Add token ids from a caller's tokenizer, made once per worker process: list of texts to list of id lists."""
+    token = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = make_encode()
+        encode = made_once(token, make_encode)
         for texts in batches:
             yield pd.Series([list(ids) for ids in encode(texts.tolist())], dtype=object)
 

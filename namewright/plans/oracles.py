@@ -417,6 +417,18 @@ from compared group by rollup(language)""",
         SCORED,
         """select language, count(*) as n, round(avg((left(target, 2) = left(top_prediction, 2))::int), 6) as same_start
 from scored group by language""",
+    ),
+    "caller_fmeasure": _with(
+        SCORED
+        + """, letters as (
+  select language, regexp_extract_all(target, '(?s).') as t, regexp_extract_all(top_prediction, '(?s).') as p from scored),
+ shared as (
+  select language, len(t) as n_true, len(p) as n_guessed,
+    coalesce(list_sum(list_transform(list_distinct(t), lambda x: least(
+      len(list_filter(t, lambda y: y = x)), len(list_filter(p, lambda y: y = x))))), 0) as n_common from letters)""",
+        """select language, round(sum(n_common) / sum(n_guessed)::double, 6) as precision,
+  round(sum(n_common) / sum(n_true)::double, 6) as recall,
+  round(2 * sum(n_common) / (sum(n_true) + sum(n_guessed))::double, 6) as f1 from shared group by language""",
     ),
     "summary_sink": _with(
         COMPARED + ", " + _report("compared", "truth", "guess"),
@@ -464,6 +476,8 @@ select label, value from (
     case when name <> '' then name else 'Name' end as predicted_name from guessed)""",
         "select *, target = predicted_name as correct from named",
     ),
+    "resumed_answers": """select doc_id, left(text, 20) as first, length(text)::varchar as second, 1::bigint as asked
+from documents""",
     "batch_accuracy": _with(
         LISTS,
         """select count(*) as total, sum((predictions[1] = target)::int)::bigint as correct,
@@ -523,6 +537,21 @@ from (select doc_id, list_transform(string_split(text, ' '), lambda w: length(w)
     ),
     "training_log_csv": _with(TRAINING_LOG, _ALL_METRICS),
     "training_log_files": _with(TRAINING_LOG, _ALL_METRICS),
+    "log_positions": """with lines as (
+  select 'run' || cast(user_id % 3 as varchar) as run, event_id as step, event_type, value,
+    row_number() over (partition by user_id % 3 order by event_id) - 1 as line
+  from events where event_type in ('view', 'error', 'click'))
+select run, line, step, case event_type when 'view' then 'loss' else 'eval_loss' end as metric, value
+from lines where event_type <> 'click'
+union all select run, line, step, 'epoch', 0.5::double from lines where event_type = 'view'""",
+    "log_records": """with rows as (
+  select user_id % 5 as run, event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') as ts,
+    case when event_id % 3 = 0 then 3 else 1 end as n from events)
+select run, (sum(n) over (partition by run order by event_id) - n)::bigint as record, ts, event_type as script,
+  case event_type when 'error' then 'ERROR' else 'INFO' end as level,
+  'value ' || event_id || case when n = 3
+    then chr(10) || 'Traceback: ' || event_type || chr(10) || '  in line ' || event_id else '' end as message
+from rows""",
     "artifact_listing": r"""select case when contains(path, '/') then regexp_extract(path, '^(.*)/', 1) else 'root' end as folder,
   string_split(path, '/')[-1] as name
 from (select regexp_extract(url, '^https?://[^/]*/(.*)$', 1) as path from pages) order by folder, name""",
@@ -534,6 +563,9 @@ from (select regexp_extract(url, '^https?://[^/]*/(.*)$', 1) as path from pages)
     "examples_roundtrip": _with(
         SPLIT, "select language, split, repo, path, span_start, span_end, source, target from split"
     ),
+    "flat_split_roundtrip": _with(
+        SPLIT, "select language, split, repo, path, span_start, span_end, source, target from split"
+    ),
     "test_split_scan": _with(SPLIT, "select language, repo, path, target from split where split = 'test'"),
     "tolerant_scan": "select source as repo, text as source, doc_id::varchar as target from documents where lang <> 'fr'",
     "export_import_splits": _with(

@@ -7,12 +7,15 @@ from ..functions import arrays, prompts, text
 from ..functions.declarations import mask_header as masked_header
 from ..operators import batches, classification, examples as rows_of, extract, generations, lenient, profile
 from ..operators import ranking, runs, scoring, views
+from ..operators.aggregates import aggregate_rows, character_fscore
 from ..operators.dedup import first_of_copies
 from ..operators.inference import encode_batch, predict_batch, prediction_accounts
+from ..operators.resume import InferenceStopped, resumed_inference
 from ..operators.sqlfunctions import register_extract_classes
 from ..session import shared_folder, stage
 from ..sources import examples as example_files
 from ..sources import logs
+from ..sources.flat import write_flat
 from ..sources.files import scan_accounts, scan_sources
 from ..sources.repos import read_repo_list
 from ..sources.results import summary_row, write_metrics, write_results, write_summary
@@ -346,6 +349,12 @@ def caller_metric(spark, sf_dir):
     return _rounded(scoring.caller_metrics(_scored(spark, sf_dir), metrics, by=["language"]))
 
 
+def caller_fmeasure(spark, sf_dir):
+    """A caller's aggregate that is no mean of rows: micro F1 over the characters of target and answer."""
+    scored = _scored(spark, sf_dir)
+    return _rounded(aggregate_rows(scored, character_fscore(), ["target", "top_prediction"], by=["language"]))
+
+
 def summary_sink(spark, sf_dir):
     """The nested summary of a test, written and read again."""
     compared = _compared(spark, sf_dir)
@@ -437,6 +446,32 @@ def failed_batches(spark, sf_dir):
     return prediction_accounts(predict_batch(docs, F.col("text"), make_predict, k=1, batch_size=1))
 
 
+def resumed_answers(spark, sf_dir):
+    """A model that dies on some texts in its first job and is asked again; every text is answered once in all."""
+    folder = shared_folder(spark, "answers")
+    docs = tables.documents(spark, sf_dir, "text")
+
+    def model(dies):
+        def make_predict():
+            def predict(asked):
+                if dies and len(asked[0]) % 50 == 0:
+                    raise RuntimeError("out of memory")
+                return [[text[:20], str(len(text))] for text in asked]
+
+            return predict
+
+        return make_predict
+
+    try:
+        resumed_inference(docs, F.col("text"), model(True), folder, "doc_id", batch_size=1, rows_per_task=50)
+    except InferenceStopped:
+        pass
+    answered = resumed_inference(docs, F.col("text"), model(False), folder, "doc_id")
+    asked = spark.read.parquet(folder).filter("error is null").groupBy("key").agg(F.count("*").alias("asked"))
+    met = answered.join(asked, F.col("doc_id") == F.col("key"))
+    return met.select("doc_id", F.get("predictions", F.lit(0)).alias("first"), F.get("predictions", F.lit(1)).alias("second"), "asked")
+
+
 def batch_accuracy(spark, sf_dir):
     rows = tables.prediction_lists(_examples(spark, sf_dir))
     return _rounded(generations.batch_accuracy(generations.attach_predictions(rows)))
@@ -539,7 +574,7 @@ def curve_positions(spark, sf_dir):
 LAYOUTS = [["loss", "epoch", "step"], ["eval_loss", "step"]]
 
 
-def _training_lines(spark, sf_dir):
+def _training_lines(spark, sf_dir, *columns):
     """Loss and evaluation rows of different width under one repeated header."""
     events = tables.table(spark, sf_dir, "events").filter("event_type in ('view', 'error', 'click')")
     line = F.expr("""case event_type
@@ -547,7 +582,7 @@ def _training_lines(spark, sf_dir):
         when 'error' then concat(cast(value as string), ',', cast(event_id as string))
         else 'loss,epoch,step' end""")
     run = F.expr("'run' || cast(user_id % 3 as string)")
-    return events.select(run.alias("run"), line.alias("value"), (F.col("event_id") % 2).alias("part"))
+    return events.select(run.alias("run"), line.alias("value"), (F.col("event_id") % 2).alias("part"), *columns)
 
 
 def training_log_csv(spark, sf_dir):
@@ -566,6 +601,32 @@ def training_log_files(spark, sf_dir):
     return logs.read_training_log(spark, f"{folder}/*", LAYOUTS).withColumn("run", _folder_run())
 
 
+def _written_in_order(rows: DataFrame, key: str, folder: str) -> None:
+    """One log file per run, its lines (value) in the order of ``key``."""
+    sorted_rows = rows.repartition("run").sortWithinPartitions("run", key)
+    sorted_rows.select("run", "value").write.partitionBy("run").text(folder)
+
+
+def log_positions(spark, sf_dir):
+    """The rows of written training logs with their line numbers, read by ranges of 64 KB."""
+    folder = shared_folder(spark, "logs")
+    _written_in_order(_training_lines(spark, sf_dir, "event_id"), "event_id", folder)
+    rows = logs.read_training_log(spark, f"{folder}/*", LAYOUTS, with_position=True, range_bytes=1 << 16)
+    return rows.withColumn("run", _folder_run())
+
+
+def log_records(spark, sf_dir):
+    """Run logs with tracebacks, written and read by ranges of 64 KB: a record is all lines up to the next head."""
+    folder = shared_folder(spark, "logs")
+    events = tables.table(spark, sf_dir, "events")
+    trace = F.expr("case when event_id % 3 = 0 then concat(chr(10), 'Traceback: ', event_type, chr(10), '  in line ', cast(event_id as string)) else '' end")
+    lines = tables.log_lines(events.withColumn("trace", trace), "trace as more", "event_id as place", "user_id % 5 as run")
+    _written_in_order(lines.withColumn("value", F.concat("value", "more")), "place", folder)
+    found = logs.read_log_records(spark, folder, range_bytes=1 << 16)
+    run = F.regexp_extract("path", "run=([0-9]+)/", 1).cast("bigint").alias("run")
+    return found.select(run, "record", F.col("ts").cast("string").alias("ts"), "script", "level", "message")
+
+
 def _artifacts(spark, sf_dir):
     events = tables.table(spark, sf_dir, "events")
     path = F.concat(F.lit("out/checkpoint-"), F.col("event_id").cast("string"))
@@ -632,6 +693,17 @@ def examples_roundtrip(spark, sf_dir):
     )
 
 
+def flat_split_roundtrip(spark, sf_dir):
+    """The published layout: one file per language and split, written at once and read by its file names."""
+    folder = shared_folder(spark, "flat")
+    write_flat(extract.to_example_rows(build.split_examples(_examples(spark, sf_dir)), "split"), folder)
+    back = example_files.read_splits(spark, f"{folder}/*", ("train", "valid", "test"))
+    return back.select(
+        "language", "split", "repo", "path", F.col("class_span.start").alias("span_start"),
+        F.col("class_span.end").alias("span_end"), "source", "target",
+    )
+
+
 def test_split_scan(spark, sf_dir):
     folder = shared_folder(spark, "examples")
     rows = extract.to_example_rows(build.split_examples(_examples(spark, sf_dir)), "split")
@@ -822,12 +894,14 @@ QUERIES = {
     "weighted_prf": weighted_prf,
     "name_report": name_report,
     "caller_metric": caller_metric,
+    "caller_fmeasure": caller_fmeasure,
     "summary_sink": summary_sink,
     "metrics_display": metrics_display,
     "sample_view": sample_view,
     "first_samples": first_samples,
     "batch_inference": batch_inference,
     "failed_batches": failed_batches,
+    "resumed_answers": resumed_answers,
     "batch_accuracy": batch_accuracy,
     "encode_texts": encode_texts,
     "row_accounting": row_accounting,
@@ -845,11 +919,14 @@ QUERIES = {
     "curve_positions": curve_positions,
     "training_log_csv": training_log_csv,
     "training_log_files": training_log_files,
+    "log_positions": log_positions,
+    "log_records": log_records,
     "artifact_listing": artifact_listing,
     "parse_run_logs": parse_run_logs,
     "log_errors": log_errors,
     "log_selection": log_selection,
     "examples_roundtrip": examples_roundtrip,
+    "flat_split_roundtrip": flat_split_roundtrip,
     "test_split_scan": test_split_scan,
     "tolerant_scan": tolerant_scan,
     "export_import_splits": export_import_splits,

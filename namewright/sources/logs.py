@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import trim_ws
+from .lines import RANGE_BYTES, number_lines, read_lines, records
 
 # The shape of a log line and of a log file's name.
 LOG_LINE = r"(?s)\A(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) - (.*?) - ([A-Z]+) - (.*)\z"
@@ -49,16 +50,17 @@ def run_of_file(path: Column) -> Column:
 
 
 def read_training_log(
-    spark: SparkSession, path: str, layouts: list[list[str]], with_position: bool = False
+    spark: SparkSession, path: str, layouts: list[list[str]], with_position: bool = False, range_bytes: int = RANGE_BYTES
 ) -> DataFrame:
-    """The training logs below ``path`` as long rows, with the line number on demand."""
-    run = run_of_file(F.col("_metadata.file_path")).alias("run")
+    """The training logs below ``path`` as long rows, with the line's number in its file, from 0, on demand.
+
+    Numbered logs are read by ranges of ``range_bytes``, so a log of any size is split.
+    """
     if not with_position:
-        lines = spark.read.text(path).select(run, "value")
+        lines = spark.read.text(path).select(run_of_file(F.col("_metadata.file_path")).alias("run"), "value")
     else:
-        whole = spark.read.text(path, wholetext=True).select(run, F.split("value", "\r?\n", -1).alias("lines"))
-        lines = whole.select("run", F.posexplode("lines").alias("line", "value"))
-        lines = lines.withColumn("line", F.col("line").cast("bigint"))
+        numbered = number_lines(read_lines(spark, path, range_bytes))
+        lines = numbered.select(run_of_file(F.col("path")).alias("run"), "line", "value")
     return training_log_rows(lines, layouts)
 
 
@@ -89,6 +91,16 @@ def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
     return parse_run_log(lines)
 
 
+def read_log_records(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(path, record, ts, script, level, message) of the run logs below ``path``; lines of a traceback are part of the message.
+
+    ``record`` is the number of the record's first line, from 0; lines before the first record are rows of their own,
+    without time, script and level, numbered downwards from -1.
+    """
+    found = records(number_lines(read_lines(spark, path, range_bytes)), F.col("value").rlike(LOG_LINE))
+    return parse_run_log(found)
+
+
 def select_logs(logs: DataFrame, day=None, script: str | None = None, phrase: str | None = None) -> DataFrame:
     """Logs of a day, of scripts whose name starts so, or with a phrase in the message."""
     if day is not None:

@@ -1,6 +1,8 @@
 """Folders and files by path, for tasks and streams that must see what Spark's own readers hide."""
 
+import io
 import os
+import shutil
 import time
 from collections.abc import Iterator
 
@@ -53,26 +55,77 @@ class Store:
         for info in system.get_file_info(fs.FileSelector(base)):
             yield info.type == fs.FileType.Directory, f"{parent}/{info.base_name}", info.size or 0
 
+    def create(self, path: str):
+        """A new file for writing, with the folders it lies in."""
+        plain = self._plain(path)
+        if plain is not None:
+            os.makedirs(os.path.dirname(plain), exist_ok=True)
+            return open(plain, "wb")
+        system, base = self._remote(path)
+        system.create_dir(base.rsplit("/", 1)[0], recursive=True)
+        return system.open_output_stream(base)
+
     def write(self, path: str, content: bytes) -> None:
         """Write a file, with the folders it lies in."""
+        with self.create(path) as file:
+            file.write(content)
+
+    def append(self, path: str, content: bytes) -> None:
+        """Put bytes behind what a file holds; a new file where there is none."""
         plain = self._plain(path)
         if plain is not None:
             os.makedirs(os.path.dirname(plain), exist_ok=True)
-            with open(plain, "wb") as file:
+            with open(plain, "ab") as file:
                 file.write(content)
             return
         system, base = self._remote(path)
-        system.create_dir(base.rsplit("/", 1)[0], recursive=True)
-        with system.open_output_stream(base) as file:
+        with system.open_append_stream(base) as file:
             file.write(content)
 
+    def make_folder(self, path: str) -> None:
+        plain = self._plain(path)
+        if plain is not None:
+            os.makedirs(plain, exist_ok=True)
+            return
+        system, base = self._remote(path)
+        system.create_dir(base, recursive=True)
+
+    def exists(self, path: str) -> bool:
+        plain = self._plain(path)
+        if plain is not None:
+            return os.path.lexists(plain)
+        from pyarrow import fs
+
+        system, base = self._remote(path)
+        return system.get_file_info(base).type != fs.FileType.NotFound
+
+    def move(self, path: str, to: str) -> None:
+        """Rename a file or folder within one file system; the new parent folder is made."""
+        plain, target = self._plain(path), self._plain(to)
+        if plain is not None and target is not None:
+            os.makedirs(os.path.dirname(target), exist_ok=True)
+            os.rename(plain, target)
+            return
+        (system, base), (_, target) = self._remote(path), self._remote(to)
+        system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+        system.move(base, target)
+
+    def delete(self, folder: str) -> None:
+        """Remove a folder and what it holds, if there is one."""
+        plain = self._plain(folder)
+        if plain is not None:
+            shutil.rmtree(plain, ignore_errors=True)
+        elif self.exists(folder):
+            system, base = self._remote(folder)
+            system.delete_dir(base)
+
     def open(self, path: str):
-        """A file for reading at any place."""
+        """A file for reading at any place, also by lines."""
         plain = self._plain(path)
         if plain is not None:
             return open(plain, "rb")
         system, base = self._remote(path)
-        return system.open_input_file(base)
+        return io.BufferedReader(system.open_input_file(base))
 
 
 def patiently(action):

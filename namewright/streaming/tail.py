@@ -1,41 +1,23 @@
 """A streaming source of the lines of files that grow in place."""
 
 from collections.abc import Iterator
-from fnmatch import fnmatchcase
-from typing import NamedTuple
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader
 
+from ..sources.lines import RANGE_BYTES, ByteRange, RangePartition, lines_of_range, split_pattern, visible_files
 from ..sources.store import LASTING, Store
 
-RANGE_BYTES = 64 << 20
-_BLOCK = 1 << 16
-
-
-class Lines(NamedTuple):
-    """The lines of a file that begin at ``start`` or later and before ``stop``; ``first``: a line begins at ``start``."""
-
-    path: str
-    start: int
-    stop: int
-    first: bool
-
-
-class LineRange(InputPartition):
-    def __init__(self, lines: Lines):
-        self.value = lines
-
 
 class LineTail(DataSource):
     """Rows (path, value), one per finished line, of all files below ``path``, old and new.
 
-    The offset of the stream is the number of bytes read per file, kept in the checkpoint, so
-    a line appended to a known file is read in the next batch, once. A line without its line
-    end is not finished and waits. A file that has become shorter was rewritten, not
+    The offset of the stream is the size seen per file, kept in the checkpoint. A batch reads the lines whose
+    line end lies between two sizes, so a line appended to a known file is read in the next batch, once, and a line
+    without its line end waits. A file that has become shorter was rewritten, not
     appended to, and ends the stream with an error; so does one that has gone with lines unread.
     Names that start with ``_`` or ``.`` are passed over. ``path`` may hold wildcards.
-    The driver keeps one number per log file and reads none of the lines.
+    The driver lists files and keeps one number for each; it opens none.
     """
 
     @classmethod
@@ -51,66 +33,35 @@ class LineTail(DataSource):
 
 class LineTailReader(DataSourceStreamReader):
     def __init__(self, path: str, range_bytes: int):
-        parts = path.rstrip("/").split("/")
-        wild = next((i for i, part in enumerate(parts) if any(c in part for c in "*?[")), len(parts))
-        self.root, self.pattern, self.range_bytes = "/".join(parts[:wild]), parts[wild:], range_bytes
+        self.root, self.pattern = split_pattern(path)
+        self.range_bytes = range_bytes
 
     def initialOffset(self) -> dict:
         return {}
 
     def latestOffset(self) -> dict:
-        store, ends, folders = Store(), {}, [self.root]
-        while folders:
-            for is_folder, path, size in store.entries(folders.pop()):
-                inner = path[len(self.root) + 1 :].split("/")
-                if inner[-1][0] in "_." or not all(map(fnmatchcase, inner, self.pattern)):
-                    continue
-                if is_folder:
-                    folders.append(path)
-                elif len(inner) >= len(self.pattern):
-                    ends[path] = self._after_last_line(store, path, size)
-        return ends
-
-    @staticmethod
-    def _after_last_line(store: Store, path: str, size: int) -> int:
-        """Where the last finished line ends, looked for from the end."""
-        with store.open(path) as file:
-            while size > 0:
-                low = max(0, size - _BLOCK)
-                file.seek(low)
-                found = file.read(size - low).rfind(b"\n")
-                if found >= 0:
-                    return low + found + 1
-                size = low
-        return 0
-
-    def partitions(self, start: dict, end: dict) -> list[LineRange]:
+        return dict(visible_files(Store(), self.root, self.pattern))
+
+    def partitions(self, start: dict, end: dict) -> list[RangePartition]:
         for path, before in start.items():
             if end.get(path, before) < before:
                 raise ValueError(f"{path} is shorter than what was read of it; logs may only be appended to")
         return [
-            LineRange(Lines(path, low, min(stop, low + self.range_bytes), low == start.get(path, 0)))
+            RangePartition(ByteRange(path, low, min(stop, low + self.range_bytes), False))
             for path, stop in sorted(end.items())
             for low in range(start.get(path, 0), stop, self.range_bytes)
         ]
 
-    def read(self, partition: LineRange) -> Iterator[tuple]:
-        path, at, stop, first = partition.value
+    def read(self, partition: RangePartition) -> Iterator[tuple]:
+        path, start, stop, last = partition.value
         try:
             file = Store().open(path)
         except LASTING as error:
             raise ValueError(f"{path} has gone before its lines were read") from error
         with file:
-            if not first:  # the line that reaches into this range belongs to the range before
-                file.seek(at - 1)
-                at += len(file.readline()) - 1
-            else:
-                file.seek(at)
-            while at < stop:
-                line = file.readline()
-                if not line:
-                    raise ValueError(f"{path} was shortened while it was read")
-                at += len(line)
+            if file.seek(0, 2) < stop:
+                raise ValueError(f"{path} was shortened while it was read")
+            for _, line in lines_of_range(file, start, stop, last):
                 yield path, line.rstrip(b"\r\n").decode("utf-8", "replace")
 
 
