@@ -1,7 +1,7 @@
 """The same results in DuckDB SQL, where SQL can express them."""
 
 from .quality import STOP_WORDS
-from .line_dedup import MIN_SITES
+from .line_dedup import MIN_SITES, MIN_WORDS, SITES_PER_MIN_SITE
 from .sharding import BITS_PER_WORD, LIMIT_BYTES
 
 _STOPS = ", ".join(f"'{word}'" for base in STOP_WORDS for word in (base, base.capitalize()))
@@ -68,8 +68,10 @@ ORACLES = {
             select rid, doc_id, source, text, unnest(ls) as line, generate_subscripts(ls, 1) as pos from d),
         trimmed as (select *, trim(line, {_BLANKS}) as bare from lines),
         boilerplate as (
-            select bare, min(doc_id) as first_doc from trimmed where bare <> ''
-            group by bare having count(distinct source) >= {MIN_SITES}),
+            select bare, min(doc_id) as first_doc from trimmed
+            where len(list_filter(regexp_split_to_array(bare, '{_BLANK}+'), lambda x: x <> '')) >= {MIN_WORDS}
+            group by bare having count(distinct source) >= greatest({MIN_SITES},
+                (select ceil(count(distinct source) / {SITES_PER_MIN_SITE}.0) from documents))),
         marked as (
             select t.*, b.bare is not null and t.doc_id is distinct from b.first_doc as gone
             from trimmed as t left join boilerplate as b on t.bare = b.bare)

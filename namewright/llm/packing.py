@@ -57,16 +57,16 @@ def token_pieces(
 
     ``ids`` are little-endian unsigned 32-bit numbers. All pieces but the first of a text
     fill the room; the first takes what is left over. A missing text is empty and has
-    just the end id. Repeated rows are cut each.
+    just the end id. Repeated rows are cut each. Keys keep their type.
     """
 
     def pieces(batches):
         encode = encoder(vocabulary)
         for batch in batches:
             out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids": []}
+            kinds = [batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
-            def flush(out=out):
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+            def flush(out=out, kinds=kinds):
                 return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
 
             held = 0
@@ -86,8 +86,9 @@ def token_pieces(
                         values.clear()
             yield flush()
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), whole_text(text).alias("text")).mapInArrow(
-        pieces, "doc_id long, piece int, start long, length long, ids binary"
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("text")).mapInArrow(
+        pieces, f"doc_id {kind}, piece int, start long, length long, ids binary"
     )
 
 
@@ -153,13 +154,14 @@ def best_fit(counts: dict[int, int], room: int) -> tuple[list[Placed], int]:
 
 
 def pack(pieces: DataFrame, room: int = ROOM, order=("doc_id", "piece")) -> DataFrame:
-    """Add (sequence_id, offset) to pieces with a ``length`` of at most ``room``.
+    """Add (sequence_id, offset) to pieces with a ``length`` of at most ``room``, which keep all their columns.
 
-    Pieces are range-sorted by length and ranked there; of them only the counts per length
-    (at most ``room``) reach the driver. Each task then looks up where its pieces go.
+    Pieces are stored once with their ids. Lengths and keys alone are range-sorted and ranked; of them only the
+    counts per length (at most ``room``) reach the driver. Each task then looks up where its pieces go, and the
+    places are joined to the stored pieces.
     """
-    # Sampling for the ranges reads the pieces once more than sorting does.
-    ranked = range_ranked(stage(pieces, "pieces"), "length", order, "ranked", "_rank")
+    held = stage(pieces.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
+    ranked = range_ranked(held.select("length", *order, "_piece"), "length", order, "ranked", "_rank")
     counts = {row.length: row.n for row in ranked.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if counts and not (1 <= min(counts) and max(counts) <= room):
         raise ValueError(f"pieces must have 1 to {room} tokens")
@@ -177,7 +179,8 @@ def pack(pieces: DataFrame, room: int = ROOM, order=("doc_id", "piece")) -> Data
         offset = row[:, 4] + after % row[:, 3] * size
         return pa.StructArray.from_arrays([pa.array(sequence), pa.array(offset)], ["sequence_id", "offset"])
 
-    return ranked.withColumn("_spot", spot("length", "_rank")).select("*", "_spot.*").drop("_rank", "_spot")
+    places = ranked.select("_piece", spot("length", "_rank").alias("_spot")).select("_piece", "_spot.*")
+    return held.join(places, "_piece").drop("_piece")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

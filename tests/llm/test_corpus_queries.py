@@ -80,6 +80,7 @@ def check_packing(rows, texts, room=1024):
         assert r.piece not in pieces[r.doc_id]
         pieces[r.doc_id][r.piece] = (r.start, r.length, r.ids_crc32)
         spots[r.sequence_id].append((r.offset, r.length))
+        assert "ids" not in r or zlib.crc32(r.ids) == r.ids_crc32
     assert set(pieces) == {key for key, _ in texts}
     for key, text in texts:
         ids, at = [*exact.encode(text, add_special_tokens=False).ids, 2], 0
@@ -154,11 +155,13 @@ def test_pipeline_against_brute_force(spark):
         lines = [(line, line.strip(BLANKS)) for line in d["text"].split("\n")]
         stays = [
             line for line, bare in lines
-            if not bare or len(sites[bare] - {None}) < line_dedup.MIN_SITES or first[bare] == d["doc_id"]
+            if len(bare.split()) < 3 or len(sites[bare] - {None}) < line_dedup.MIN_SITES or first[bare] == d["doc_id"]
         ]
         texts.append((d["doc_id"], "\n".join(stays)))
     chosen = set(brute_first_keys(texts))
-    check_packing(corpus_pipeline.run(spark, DATA).collect(), [t for t in texts if t[0] in chosen])
+    packed = corpus_pipeline.run(spark, DATA)
+    assert "ids" in packed.columns
+    check_packing(packed.collect(), [t for t in texts if t[0] in chosen])
 
 
 def test_rules_reject_by_each_limit(spark):
