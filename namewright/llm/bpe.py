@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+from array import array
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -43,7 +44,9 @@ class Codec:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.kind = "<u2" if size <= 1 << 16 else "<u4"
+        # Arrow and Spark run on little-endian machines, so an array's bytes are as ``kind`` says.
+        self.kind, self.code = ("<u2", "H") if size <= 1 << 16 else ("<u4", "I")
+        self.decimals = [b"%d" % i for i in range(size)]
         self.strings = [(self.tokenizer.id_to_token(i) or "").encode() for i in range(size)]
         self.known: dict[bytes, bytes] = {}
 
@@ -58,9 +61,12 @@ class Codec:
                 missing = set(words)
             order = list(missing)
             encoded = self.tokenizer.encode_batch_fast([w.decode() for w in order], add_special_tokens=False)
-            fresh = {w: np.array(e.ids, dtype=self.kind).tobytes() for w, e in zip(order, encoded)}
-            known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST_REMEMBERED)
-            return b"".join([known[w] if w in known else fresh[w] for w in words])
+            known.update(zip(order, [array(self.code, e.ids).tobytes() for e in encoded]))
+            joined = b"".join([known[w] for w in words])
+            for word in order:
+                if len(word) > LONGEST_REMEMBERED:
+                    del known[word]
+            return joined
         return b"".join([known[w] for w in words])
 
     def count(self, ids: bytes) -> int:
@@ -73,7 +79,7 @@ class Codec:
     def ids_and_text(self, ids: bytes) -> tuple[int, str, str]:
         """Number of ids, and the digests of their decimal list and of the decoded text."""
         numbers = np.frombuffer(ids, dtype=self.kind).tolist()
-        listed = " ".join(map(str, numbers)).encode()
+        listed = b" ".join(map(self.decimals.__getitem__, numbers))
         return len(numbers), hashlib.sha256(listed).hexdigest(), hashlib.sha256(self.decode(ids)).hexdigest()
 
 
