@@ -32,7 +32,8 @@ class Codec:
     """Encodes and decodes text with a tokenizers file in which white space ends every token.
 
     Words (text between ASCII blanks) encode alike wherever they stand, so the ids of those of
-    up to 64 bytes are remembered in a table of bounded size. Without a decoder in the file, decoding joins
+    up to 64 bytes are remembered in a table of bounded size; a full one is kept beside a new one, which takes
+    over the words that are met again. Without a decoder in the file, decoding joins
     the tokens' strings with spaces; both directions are lists to join.
     """
 
@@ -49,6 +50,7 @@ class Codec:
         self.decimals = [b"%d" % i for i in range(size)]
         self.strings = [(self.tokenizer.id_to_token(i) or "").encode() for i in range(size)]
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode(self, raw: bytes) -> bytes:
         """The ids of a text, as little-endian unsigned numbers of ``kind``."""
@@ -57,9 +59,14 @@ class Codec:
         missing = {w for w in words if w not in known}
         if missing:
             if len(known) + len(missing) > WORDS_IN_MEMORY:
-                known.clear()
-                missing = set(words)
-            order = list(missing)
+                self.older, self.known = known, {}
+                known, missing = self.known, set(words)
+            older, order = self.older, []
+            for word in missing:
+                if word in older:
+                    known[word] = older[word]
+                else:
+                    order.append(word)
             encoded = self.tokenizer.encode_batch_fast([w.decode() for w in order], add_special_tokens=False)
             known.update(zip(order, [array(self.code, e.ids).tobytes() for e in encoded]))
             joined = b"".join([known[w] for w in words])

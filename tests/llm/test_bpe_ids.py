@@ -54,3 +54,12 @@ def test_long_words_are_not_remembered():
     raw = b"short " + b"y" * 500 + b" short"
     assert np.frombuffer(tool.encode(raw), tool.kind).tolist() == tool.tokenizer.encode(raw.decode(), add_special_tokens=False).ids
     assert set(tool.known) == {b"short"}
+
+
+def test_full_word_tables_change_no_ids(monkeypatch):
+    monkeypatch.setattr(bpe, "WORDS_IN_MEMORY", 8)
+    tool = bpe.Codec(bpe.VOCABULARY)
+    for k in range(30):
+        raw = " ".join(f"the w{(i * k) % 23} of x{k}" for i in range(6)).encode()
+        assert np.frombuffer(tool.encode(raw), tool.kind).tolist() == tool.tokenizer.encode(raw.decode(), add_special_tokens=False).ids
+        assert len(tool.known) <= 24 and len(tool.older) <= 24
