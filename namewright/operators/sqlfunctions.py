@@ -10,9 +10,8 @@ def register_extract_classes(spark: SparkSession, name: str = "extract_classes")
 
     ``select path, c.* from (select path, extract_classes(content, language) as found
     from files) lateral view inline(found) c`` gives the place, text and name of each
-    declaration. Spark expands it into built-in expressions, without a join. Offsets
-    are summed up per declaration, so use the DataFrame operator for files with
-    thousands of them.
+    declaration. Spark expands it into built-in expressions, without a join. Offsets are listed
+    once per file, in blocks of 256, so files may have any number of declarations.
     """
 
     def per_language(render) -> str:
@@ -21,13 +20,18 @@ def register_extract_classes(spark: SparkSession, name: str = "extract_classes")
     # Raw SQL strings; the patterns hold no quotes.
     marked = per_language(lambda language: f"regexp_replace(content, r'{DECLARATION[language]}', mark || r'$0')")
     target = per_language(lambda language: f"regexp_extract(snippet, r'{SNIPPET_NAME[language]}', 1)")
-    start = "aggregate(slice(pieces, 1, place + 1), 0L, (total, piece) -> total + length(piece))"
+    # Where each piece ends; a block's sums start at the end of the block before.
+    before = "coalesce(try_element_at(try_element_at(blocks, -1), -1), 0L)"
+    block = f"""aggregate(slice(pieces, first, 256), cast(array() as array<bigint>), (ends, piece) ->
+        concat(ends, array(coalesce(try_element_at(ends, -1), {before}) + length(piece))))"""
+    ends = f"""flatten(aggregate(sequence(1, greatest(size(pieces), 1), 256), cast(array() as array<array<bigint>>),
+        (blocks, first) -> concat(blocks, array({block}))))"""
     mark = "if(contains(content, chr(1)), chr(1) || sha2(content, 256) || chr(1), chr(1))"
     pieces = f"transform(array({mark}), mark -> split(case language {marked} else content end, mark, -1))"
     spark.sql(f"""
         create or replace temporary function {name}(content string, language string)
         returns array<struct<span_start bigint, span_end bigint, snippet string, target string>>
-        return flatten(transform({pieces}, pieces ->
-          transform(slice(pieces, 2, greatest(size(pieces) - 1, 0)), (snippet, place) -> struct(
-            {start} as span_start, {start} + length(snippet) as span_end, snippet as snippet,
+        return flatten(transform(transform({pieces}, pieces -> struct(pieces as pieces, {ends} as ends)), cut ->
+          transform(slice(cut.pieces, 2, greatest(size(cut.pieces) - 1, 0)), (snippet, place) -> struct(
+            get(cut.ends, place) as span_start, get(cut.ends, place) + length(snippet) as span_end, snippet as snippet,
             case language {target} end as target))))""")

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from namewright.operators import batches
 from namewright.operators.aggregates import Aggregate, aggregate_rows, character_fscore
+from namewright.operators.extract import extract_declarations
 from namewright.operators.inference import encode_batch
 from namewright.operators.resume import InferenceStopped, resumed_inference
+from namewright.operators.sqlfunctions import register_extract_classes
 from namewright.sources import examples, flat, lines, logs
 from namewright.sources.store import Store
 
@@ -48,6 +50,23 @@ def test_aggregate_of_no_rows_and_of_several_keys(spark):
     assert aggregate_rows(table.limit(0), largest, ["v"], by=["k"]).collect() == []
 
 
+# The SQL function
+
+
+def test_sql_function_lists_offsets_of_very_many_declarations(spark):
+    """Fifty thousand in one file, as many as the DataFrame operator finds, and files without any."""
+    content = "head\n" + "".join(f"class K{i}:\n    é{i}\n" for i in range(50_000))
+    files = [("a", "r", "python", content), ("b", "r", "python", "none"), ("c", "r", "python", ""), ("d", "r", "ruby", "class X"), ("e", "r", "python", None)]
+    table = spark.createDataFrame(files, "path string, repo string, language string, content string")
+    register_extract_classes(spark)
+    table.createOrReplaceTempView("very_many")
+    found = spark.sql("select path, c.* from (select path, extract_classes(content, language) as found from very_many) lateral view inline(found) c")
+    got = [(r.span_start, r.span_end, r.target) for r in found.orderBy("path", "span_start").collect()]
+    want = extract_declarations(table).select("span_start", "span_end", "target", "path").orderBy("path", "span_start").collect()
+    assert len(got) == 50_000 and got == [tuple(r)[:3] for r in want]
+    assert all(content[a:b].startswith(f"class {name}:") for a, b, name in got[::997])
+
+
 # Inference
 
 
