@@ -12,6 +12,7 @@ CODE_FILES = r"""code_files as (
         else '    ' || x end), chr(10)) as content
   from documents)"""
 
+# Names and declaration keywords of the languages.
 _NAME = "[A-Za-z_][A-Za-z0-9_]*"
 _JAVA = "class|interface|enum"
 _CSHARP = "class|interface|struct|enum|record"

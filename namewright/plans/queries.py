@@ -28,7 +28,7 @@ K = 3
 
 def _joined(values: Column) -> Column:
     """An array as one line of text, for comparison across engines."""
-    return F.array_join(F.transform(values, lambda value: value.cast("string")), ",")
+    return F.array_join(values.cast("array<string>"), ",")
 
 
 def _rounded(df: DataFrame) -> DataFrame:

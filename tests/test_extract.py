@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from namewright.functions.declarations import mask_header
 from namewright.operators.extract import extract_declarations, extract_examples, to_example_rows
 
+# What counts as a declaration in each language, restated for comparison.
 NAME = "([A-Za-z_][A-Za-z0-9_]*)"
 JAVA = r"\b(?:class|interface|enum)\s+"
 KINDS = r"(?:class|interface|struct|enum|record)\s+"
