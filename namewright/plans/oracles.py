@@ -233,6 +233,12 @@ union all select run, step, 'epoch', 0.5::double from training_log where metric
 
 _NAMED = "named as (select doc_id, case lang when 'es' then '{0}' else 'train' end as split from documents)"
 
+_TOP_LABELS = _with(
+    BEAMS,
+    """select target, count from (
+  select target, count(*) as count, min(sample_id) as seen from gold group by target) order by count desc, seen limit 5""",
+)
+
 ORACLES = {
     "extract_python": _extract("python"),
     "extract_java": _extract("java"),
@@ -302,10 +308,19 @@ from documents where lang not in ('fr', 'de') and doc_id % 3 < 2 and length(text
     "label_profile": _with(
         SPLIT, "select split, count(*) as count, count(distinct target) as labels from split group by split"
     ),
-    "top_labels": _with(
-        BEAMS,
-        """select target, count from (
-  select target, count(*) as count, min(sample_id) as seen from gold group by target) order by count desc, seen limit 5""",
+    "top_labels": _TOP_LABELS,
+    "heavy_labels": _TOP_LABELS,
+    "split_overlap": _with(
+        SPLIT
+        + """, held as (select repo, split from split where repo is not null group by 1, 2),
+ names as (select distinct split from split),
+ pairs as (select a.split, b.split as other from names a join names b on a.split < b.split),
+ sides as (
+  select p.split, p.other, h.repo, bool_or(h.split = p.split) as here, bool_or(h.split = p.other) as there
+  from pairs p join held h on h.split in (p.split, p.other) group by 1, 2, 3)""",
+        """select split, other, count(*) filter (where here and there) as both, count(*) as either,
+  count(*) filter (where not there) as only_split, count(*) filter (where not here) as only_other
+from sides group by 1, 2""",
     ),
     "build_accounting": _with(
         EXAMPLES,
@@ -596,6 +611,16 @@ from (select regexp_extract(url, '^https?://[^/]*/(.*)$', 1) as path from pages)
         """select count(*) as n, sum(exact_match::int)::bigint as em, sum(exact_match_ci::int)::bigint as em_ci,
   sum(in_topk::int)::bigint as topk, sum(edit_distance)::bigint as lev_sum,
   round(avg(exact_match::int), 6) as exact_match from scored""",
+    ),
+    "stream_alignment": _with(
+        LISTS
+        + """, placed as (
+  select l.sample_id, l.target, l.predictions, cast(substr(e.path, 2) as bigint) as doc_id
+  from lists l join examples e using (sample_id)),
+ half as (select max(doc_id) // 2 as middle from placed),
+ told as (select *, doc_id % 8 <= 5 and not (doc_id % 7 = 0 and doc_id < middle - 100) as answered from placed, half)""",
+        """select sample_id, target, case when answered then array_to_string(predictions, ',') else ',,' end as predictions,
+  answered from told""",
     ),
     "stream_log_errors": _with(LOGS, "select ts, script, level, message from logs where level = 'ERROR'"),
     "stream_callback": _with(TRAINING_LOG, "select run, step, metric, value from training_log"),

@@ -11,6 +11,7 @@ from ..operators.aggregates import aggregate_rows, character_fscore
 from ..operators.dedup import first_of_copies
 from ..operators.inference import encode_batch, predict_batch, prediction_accounts
 from ..operators.resume import InferenceStopped, resumed_inference
+from ..operators.sketches import heavy_labels as heaviest, split_overlap as overlap, value_sketches
 from ..operators.sqlfunctions import register_extract_classes
 from ..session import shared_folder, stage
 from ..sources import examples as example_files
@@ -21,6 +22,7 @@ from ..sources.repos import read_repo_list
 from ..sources.results import summary_row, write_metrics, write_results, write_summary
 from ..sources.store import Store
 from ..streaming import jobs
+from ..streaming.align import align_streams
 from . import build, tables
 
 K = 3
@@ -211,6 +213,18 @@ def top_labels(spark, sf_dir):
     return profile.top_labels(tables.gold(_examples(spark, sf_dir)), ["sample_id"])
 
 
+def heavy_labels(spark, sf_dir):
+    """The same as top_labels, without a shuffle of all labels."""
+    gold = stage(tables.gold(_examples(spark, sf_dir)).select("target", "sample_id"), "gold")
+    return heaviest(gold, ["sample_id"])
+
+
+def split_overlap(spark, sf_dir):
+    """Repositories in two splits, from stored sketches of each split and language."""
+    sketches = stage(value_sketches(_splits(spark, sf_dir), ["split", "language"]), "sketches")
+    return overlap(sketches)
+
+
 def build_accounting(spark, sf_dir):
     return profile.repo_accounts(_examples(spark, sf_dir))
 
@@ -819,6 +833,42 @@ def _finished(spark, aggregate: DataFrame) -> DataFrame:
     return jobs.read_latest(spark, f"{folder}/result", aggregate.schema)
 
 
+def stream_alignment(spark, sf_dir):
+    """Gold and predictions both arrive in two parts, with repeats, late answers and a restart between the parts.
+
+    A document stands for an hour. Its answers come 0 to 7 hours later, of which 5 count. Answers of
+    every seventh document of the first part come with the second, too late except near its end.
+    The last row of each stream stands far ahead, so that all others are decided.
+    """
+    rows = tables.prediction_lists(_examples(spark, sf_dir), "cast(substring(path, 2) as bigint) as doc_id")
+    rows = stage(rows, "arriving")
+    cut = (rows.agg(F.max("doc_id")).first()[0] or 0) // 2
+    hours = lambda hour: F.timestamp_seconds((F.expr(hour) + 1) * 3600).alias("at")
+    part = f"doc_id >= {cut}"
+    late = f"({part} or doc_id % 7 = 0 and doc_id < {cut} - 100)"
+    ahead = spark.range(1).select(F.lit("ahead").alias("sample_id"), hours("100000000L"))
+    gold = rows.select("sample_id", hours("doc_id"), "target", F.expr(f"{part} as second"), "doc_id")
+    gold = gold.unionAll(gold.filter("doc_id % 11 = 0").withColumn("second", F.lit(True))).drop("doc_id")
+    told = rows.select("sample_id", hours("doc_id + doc_id % 8"), "predictions", F.expr(f"{late} as second"), "doc_id")
+    told = told.unionAll(told.filter("doc_id % 5 = 0")).drop("doc_id")
+    folder = shared_folder(spark, "stream")
+    sides = {name: side.unionByName(ahead.selectExpr("*", "true as second", *extra)) for name, side, extra in (
+        ("gold", gold, ["'' as target"]), ("told", told, ["array('') as predictions"]))}
+    streams = {}
+    for name, side in sides.items():
+        schema = side.drop("second").schema
+        spark.createDataFrame([], schema).write.parquet(f"{folder}/{name}")
+        streams[name] = spark.readStream.schema(schema).parquet(f"{folder}/{name}")
+    streams["told"] = streams["told"].withColumn("sample_id", F.expr("if(sample_id = 'ahead', 'ahead of told', sample_id)"))
+    aligned = align_streams(streams["gold"], streams["told"], K, wait="5 hours", delay="10 hours")
+    for second in (False, True):
+        for name, side in sides.items():
+            side.filter(F.col("second") == second).drop("second").write.mode("append").parquet(f"{folder}/{name}")
+        jobs.append_log_events(aligned, f"{folder}/result", f"{folder}/checkpoint").awaitTermination()
+    found = spark.read.schema(aligned.schema).parquet(f"{folder}/result")
+    return found.select("sample_id", "target", _joined(F.col("predictions")).alias("predictions"), "answered")
+
+
 def stream_log_errors(spark, sf_dir):
     """Error lines of growing run logs, each once although the job is restarted."""
     folder = shared_folder(spark, "stream")
@@ -870,6 +920,8 @@ QUERIES = {
     "split_percent": split_percent,
     "label_profile": label_profile,
     "top_labels": top_labels,
+    "heavy_labels": heavy_labels,
+    "split_overlap": split_overlap,
     "build_accounting": build_accounting,
     "language_accounting": language_accounting,
     "missing_splits": missing_splits,
@@ -936,6 +988,7 @@ QUERIES = {
     "scan_accounts": scan_counts,
     "stream_training_log": stream_training_log,
     "stream_scores": stream_scores,
+    "stream_alignment": stream_alignment,
     "stream_log_errors": stream_log_errors,
     "stream_callback": stream_callback,
 }

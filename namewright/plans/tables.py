@@ -62,9 +62,9 @@ def beams(examples: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def prediction_lists(examples: DataFrame) -> DataFrame:
+def prediction_lists(examples: DataFrame, *columns: str) -> DataFrame:
     """Target and the same answers as a list; row by row, so also for streams."""
-    return _with_names(examples).select("sample_id", "language", "target", "predictions")
+    return _with_names(examples).selectExpr("sample_id", "language", "target", "predictions", *columns)
 
 
 def completions(examples: DataFrame) -> DataFrame:
