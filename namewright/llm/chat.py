@@ -37,73 +37,101 @@ def _role_back(role: Column) -> Column:
     return F.array_join(parts, "\\")
 
 
-def reply_paths(messages: DataFrame) -> DataFrame:
-    """Root-to-leaf paths of reply trees: rows (tree, leaf, id, depth), depth 0 at the root.
-
-    ``messages`` has (tree, id, parent), none of tree and id missing, ids unique in a tree.
-    Iterative self-joins double the reach: after k rounds every message knows its 2**k-th
-    ancestor, and every leaf all its nearest 2**k ones, so a chain of n messages takes
-    log2(n) rounds. A message whose parent is missing or not in the tree is a root.
-    Messages in a reply loop, or below one, have no root and are in no path.
+def _reach(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """How every message reaches its root: rows (tree, id, up, total, turns), and the jumps that lead there.
+
+    Iterative self-joins double the reach: after k rounds ``up`` is the message's 2**k-th ancestor,
+    ``total`` and ``turns`` are the scores and the number of the messages before that ancestor.
+    At the end ``up`` is null, but for messages in a reply loop or below one. A chain of n
+    messages takes log2(n) rounds. The k-th jump has (tree, id, up) of those with a 2**k-th ancestor.
     """
-    nodes = stage(messages.select("tree", "id", "parent"), "messages")
-    up = F.col("tree").alias("tree"), F.col("id").alias("parent")
-    jump = stage(
-        nodes.filter("parent is not null").join(nodes.select(*up), ["tree", "parent"])
-        .select("tree", "id", F.col("parent").alias("up")),
-        "jump",
-    )
-    rounds = max(1, nodes.count()).bit_length()
-    jumps = []
-    while len(jumps) <= rounds and not jump.isEmpty():
-        jumps.append(jump)
-        further = jump.select("tree", F.col("id").alias("up"), F.col("up").alias("top"))
-        jump = stage(jump.join(further, ["tree", "up"]).select("tree", "id", F.col("top").alias("up")), "jump")
-    answered = nodes.select("tree", F.col("parent").alias("id")).filter("id is not null").distinct()
-    leaves = nodes.select("tree", "id").join(answered, ["tree", "id"], "left_anti")
-    if len(jumps) > rounds:
-        leaves = leaves.join(jumps[-1].select("tree", "id"), ["tree", "id"], "left_anti")
-    paths = stage(leaves.select("tree", F.col("id").alias("leaf"), "id", F.lit(0).cast("long").alias("height")), "paths")
-    for k, jump in enumerate(jumps):
-        above = paths.join(jump, ["tree", "id"]).select(
-            "tree", "leaf", F.col("up").alias("id"), (F.col("height") + (1 << k)).alias("height")
+    nodes = stage(messages.select("tree", "id", "parent", F.coalesce("score", F.lit(0.0)).alias("score")), "messages")
+    there = nodes.select("tree", F.col("id").alias("parent"), F.col("id").alias("up"))
+    reach = nodes.join(there, ["tree", "parent"], "left").select(
+        "tree", "id", "up", F.col("score").alias("total"), F.lit(1).cast("long").alias("turns")
+    )
+    reach, jumps = stage(reach, "reach"), []
+    for _ in range(max(1, nodes.count()).bit_length()):
+        going = reach.filter("up is not null")
+        if going.isEmpty():
+            break
+        jumps.append(going.select("tree", "id", "up"))
+        above = reach.select(
+            "tree", F.col("id").alias("up"), F.col("up").alias("_up"), F.col("total").alias("_total"), F.col("turns").alias("_turns")
         )
-        paths = stage(paths.unionAll(above), "paths")
-    top = paths.groupBy("tree", "leaf").agg(F.max("height").alias("top"))
-    return paths.join(top, ["tree", "leaf"]).select("tree", "leaf", "id", (F.col("top") - F.col("height")).alias("depth"))
+        further = going.join(above, ["tree", "up"]).select(
+            "tree", "id", F.col("_up").alias("up"), (F.col("total") + F.col("_total")).alias("total"),
+            (F.col("turns") + F.col("_turns")).alias("turns"),
+        )
+        reach = stage(reach.filter("up is null").unionAll(further), "reach")
+    return reach, jumps
+
+
+def branches(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """The leaves of reply trees, one row (tree, leaf, branch_score, n_turns) a branch, and the jumps to lay them out.
+
+    ``messages`` has (tree, id, parent, score), none of tree and id missing, ids unique in a tree.
+    A message whose parent is missing or not in the tree is a root. A branch's score is the mean of
+    its messages' scores, a missing score is 0. No path is laid out: a tree costs its messages
+    times the logarithm of its depth, not its leaves times their depth. Messages in a
+    reply loop, or below one, have no root and are in no branch; ``message_accounts`` counts them.
+    """
+    reach, jumps = _reach(messages)
+    answered = messages.select("tree", F.col("parent").alias("id")).filter("id is not null").distinct()
+    leaves = reach.filter("up is null").join(answered, ["tree", "id"], "left_anti")
+    score = (F.col("total") / F.col("turns")).alias("branch_score")
+    return leaves.select("tree", F.col("id").alias("leaf"), score, F.col("turns").alias("n_turns")), jumps
 
 
-def best_branches(paths: DataFrame, scores: DataFrame, most: int | None = 1) -> DataFrame:
-    """The ``most`` best leaves (tree, leaf, branch_score, branch_rank) of each tree; None keeps all.
+def best_branches(leaves: DataFrame, most: int | None = 1) -> DataFrame:
+    """The ``most`` best leaves of each tree with their ``branch_rank``; None keeps all.
 
-    A branch's score is the mean of its messages' scores, a missing score is 0; ties go to the
-    smaller leaf. Spark limits ranks on the map side before it shuffles the leaves of a tree.
+    Ties go to the smaller leaf. Spark limits ranks on the map side before it shuffles the leaves of a tree.
     """
-    scored = (
-        paths.join(scores.select("tree", "id", "score"), ["tree", "id"])
-        .groupBy("tree", "leaf")
-        .agg(F.avg(F.coalesce("score", F.lit(0.0))).alias("branch_score"))
-    )
     order = Window.partitionBy("tree").orderBy(F.desc("branch_score"), "leaf")
-    ranked = scored.withColumn("branch_rank", F.row_number().over(order))
+    ranked = leaves.withColumn("branch_rank", F.row_number().over(order))
     return ranked if most is None else ranked.filter(F.col("branch_rank") <= most)
 
 
+def reply_paths(chosen: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """The messages of chosen branches: the leaves' columns with ``id`` and ``depth``, 0 at the root."""
+    paths = stage(chosen.withColumns({"id": F.col("leaf"), "depth": F.col("n_turns") - 1}), "paths")
+    for k, jump in enumerate(jumps):
+        above = paths.join(jump, ["tree", "id"]).withColumns({"id": F.col("up"), "depth": F.col("depth") - (1 << k)})
+        paths = stage(paths.unionByName(above.drop("up")), "paths")
+    return paths
+
+
+def message_accounts(messages: DataFrame) -> DataFrame:
+    """One row: all messages, and those in no conversation because they have no tree or id, repeat an id, or reply in a loop."""
+    keyed = messages.filter("tree is not null and id is not null")
+    known = stage(keyed.groupBy("tree", "id").agg(F.min(F.struct("parent", "role", "text", "score")).alias("m")).select("tree", "id", "m.*"), "messages")
+    reach, _ = _reach(known)
+    total = messages.agg(
+        F.count(F.lit(1)).alias("messages"), F.count_if(F.col("tree").isNull() | F.col("id").isNull()).alias("without_key")
+    )
+    kept = reach.agg(F.count(F.lit(1)).alias("_known"), F.count_if(F.col("up").isNotNull()).alias("in_loops"))
+    joined = total.join(kept, F.lit(True))  # one row each
+    return joined.select(
+        "messages", "without_key", (F.col("messages") - F.col("without_key") - F.col("_known")).alias("repeated"), "in_loops"
+    )
+
+
 def format_trees(messages: DataFrame, most: int | None = 1, loss_role: str = LOSS_ROLE) -> DataFrame:
     """One conversation per chosen path: (tree, leaf, branch_score, branch_rank, n_turns, formatted, loss_spans).
 
     ``messages`` has (tree, id, parent, role, text, score). A missing role or text is empty. Rows
     without tree or id are left out; of rows that repeat an id of their tree the smallest
     by (parent, role, text, score) counts. ``loss_spans`` lists the code points (start, length)
-    of each text of ``loss_role`` as it stands in ``formatted``. One conversation is one output
+    of each text of ``loss_role`` as it stands in ``formatted``. Branches are ranked before any path is laid out. One conversation is one output
     row, so its size bounds what a task gathers; sorting and offsets work on rows before.
     """
     narrow = ["parent", "role", "text", "score"]
     known = messages.filter("tree is not null and id is not null").groupBy("tree", "id").agg(F.min(F.struct(*narrow)).alias("m"))
     known = stage(known.select("tree", "id", "m.*"), "messages")
-    paths = stage(reply_paths(known), "paths")
-    chosen = best_branches(paths, known, most)
-    turns = paths.join(chosen, ["tree", "leaf"]).join(known.select("tree", "id", "role", "text"), ["tree", "id"])
+    leaves, jumps = branches(known)
+    paths = reply_paths(best_branches(leaves, most), jumps)
+    turns = paths.join(known.select("tree", "id", "role", "text"), ["tree", "id"])
     empty = F.lit("")
     head = F.concat(F.lit(OPEN), _role(F.coalesce("role", empty)), F.lit("\n"))
     body = escape(F.coalesce("text", empty))

@@ -14,6 +14,7 @@ VOCABULARY = "piece_bpe_32k.model"
 WORD_START = "▁"
 UNKNOWN_PENALTY = 10.0
 WORDS_IN_MEMORY = 1 << 19
+PREFIXES = 1 << 12
 _COUNTERS: dict = {}
 
 
@@ -27,39 +28,43 @@ class UnigramCounter:
     prefixes from left to right and replaces a path only by a truly better one, so of equal
     scores the longest last piece stays. A character that no piece covers alone counts as
     one unknown with a penalty; a run of unknowns on the best path is spelled in bytes,
-    one piece each.
+    one piece each. A text without spaces needs no memory but for its last prefixes.
     """
 
-    def __init__(self, pieces: list[tuple[str, float]], split_words: bool = True):
+    def __init__(self, pieces: list[tuple[str, float]]):
         self.automaton = ahocorasick.Automaton()
         for piece, score in dict(pieces).items():
             if piece:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.worst = min(score for _, score in pieces) - UNKNOWN_PENALTY
-        self.split_words = split_words
+        self.longest = max(len(piece) for piece, _ in pieces)
         self.known: dict[str, int] = {}
 
     def count_unit(self, unit: str) -> int:
-        n = len(unit)
-        ends: list[list] = [[] for _ in range(n + 1)]
-        for last, found in self.automaton.iter(unit):
-            ends[last + 1].append(found)
-        best, pieces = [0.0] * (n + 1), [0] * (n + 1)
-        for at in range(1, n + 1):
+        best, pieces = [0.0], [0]  # per prefix; no further back than the longest piece is looked
+        matches = self.automaton.iter(unit)
+        place, match = next(matches, (-1, None))
+        for at, character in enumerate(unit):
+            found = []
+            while place == at:
+                found.append(match)
+                place, match = next(matches, (-1, None))
             score = count = None
-            found = ends[at]
             # Longest pieces start first, and the tokenizer meets them first.
             for length, value in sorted(found, reverse=True) if len(found) > 1 else found:
-                path = best[at - length] + value
+                path = best[-length] + value
                 if score is None or path > score:
-                    score, count = path, pieces[at - length] + 1
+                    score, count = path, pieces[-length] + 1
             if not found or all(length != 1 for length, _ in found):
-                path = best[at - 1] + self.worst
+                path = best[-1] + self.worst
                 if score is None or path > score:
-                    score, count = path, pieces[at - 1] + len(unit[at - 1].encode("utf-8", "surrogatepass"))
-            best[at], pieces[at] = score, count
-        return pieces[n]
+                    score, count = path, pieces[-1] + len(character.encode("utf-8", "surrogatepass"))
+            best.append(score)
+            pieces.append(count)
+            if len(best) > PREFIXES + self.longest:
+                del best[: -self.longest], pieces[: -self.longest]
+        return pieces[-1]
 
     def count(self, text: str) -> int:
         if not text:

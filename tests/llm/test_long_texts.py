@@ -1,7 +1,9 @@
-"""Texts of over a million words are judged by the same ratios as others."""
+"""Very long texts are judged by the same ratios as others, and need memory for little but themselves."""
+
+import tracemalloc
 
 import corpus_pipeline
-from namewright.llm import quality, queries
+from namewright.llm import quality, queries, token_counts
 
 
 def test_quality_keeps_very_long_texts(spark, tmp_path):
@@ -17,3 +19,16 @@ def test_quality_keeps_very_long_texts(spark, tmp_path):
     assert judged == {1: True, 2: False}
     kept = dict(corpus_pipeline.STAGES)["quality_rules"](spark, table, "")
     assert [r.doc_id for r in kept.select("doc_id").collect()] == [1]
+
+
+def test_token_counts_of_texts_without_spaces_need_little_memory():
+    counter = token_counts.UnigramCounter([("a", -1.0), ("aba", -2.0), ("ab", -1.5), ("▁", 0.0)])
+    plain = "abaxé" * 4000
+    short = counter.count(plain[:50])
+    tracemalloc.start()
+    try:
+        assert counter.count(plain) - 1 == 400 * (short - 1)
+        assert counter.count("aba" * 300_000) == 300_001
+        assert tracemalloc.get_traced_memory()[1] < 20_000_000  # 22 bytes a character
+    finally:
+        tracemalloc.stop()

@@ -310,6 +310,22 @@ def test_chat_trees(spark):
     assert (by[("t", 31)].branch_rank, by[("t", 19)].branch_rank) == (1, 2)
     best = chat.format_trees(spark.createDataFrame(rows, schema)).collect()
     assert {(r.tree, r.leaf) for r in best} == {("t", 31), ("lone", 1)}
+    lost = chat.message_accounts(spark.createDataFrame(rows, schema)).collect()
+    assert [tuple(r) for r in lost] == [(len(rows), 1, 1, 2)]
+
+
+def test_chat_ranks_before_it_lays_out_paths(spark, monkeypatch):
+    trunk = spark.range(500).selectExpr("'t' as tree", "id", "nullif(id, 0) - 1 as parent", "'user' as role", "'x' as text", "0.5D as score")
+    leaves = spark.range(5000).selectExpr("'t' as tree", "id + 1000 as id", "499L as parent", "'assistant' as role", "'y' as text",
+                                          "if(id = 4321, 0.9D, 0.1D) as score")
+    written = []
+    stage = chat.stage
+    monkeypatch.setattr(chat, "stage", lambda df, name: written.append((name, stage(df, name))) or written[-1][1])
+    (best,) = chat.format_trees(trunk.unionAll(leaves)).collect()
+    assert (best.leaf, best.n_turns, len(best.loss_spans)) == (5321, 501, 1)
+    assert abs(best.branch_score - (250 + 0.9) / 501) < 1e-9
+    assert max(df.count() for name, df in written if name == "paths") == 501
+    assert max(df.count() for _, df in written) == 5500
 
 
 def test_html():
