@@ -36,14 +36,15 @@ def seq2seq_pair(encoded: DataFrame, max_source: int = 1024, max_target: int = 3
 def form_batches(encoded: DataFrame, key: str, batch_size: int, seed: int = 42) -> DataFrame:
     """Add ``rank``, ``batch_id`` and ``longest``, the most ids of a row of the batch, in the seeded order.
 
-    The rows are stored once, so a tokenizer above them runs once. Only keys and lengths are
-    counted and ordered; the arrays meet their batch in one join. Keys are unique.
+    The rows are stored once with their lengths, so a tokenizer above them runs once. Only keys and lengths are
+    read to count and order. The numbered keys are stored, too, so Spark knows their size when it plans the one join in
+    which the arrays meet their batch: where they are small the arrays stay in the tasks that read them. Keys are unique.
     """
-    encoded = stage(encoded, "encoded")
-    sizes = encoded.select(key, F.size("input_ids").alias("_size"))
-    ranked = with_batch(seeded_rank(sizes, key, seed), batch_size)
+    stored = stage(encoded.withColumn("_size", F.size("input_ids")), "encoded")
+    ranked = with_batch(seeded_rank(stored.select(key, "_size"), key, seed), batch_size)
     longest = F.max("_size").over(Window.partitionBy("batch_id"))
-    return join_on(encoded, ranked.withColumn("longest", longest).drop("_size"), [key])
+    numbered = stage(ranked.withColumn("longest", longest).drop("_size"), "batches")
+    return join_on(stored.drop("_size"), numbered, [key])
 
 
 def collate(batched: DataFrame, pad_id: int = 0) -> DataFrame:
