@@ -606,6 +606,7 @@ from (select regexp_extract(url, '^https?://[^/]*/(.*)$', 1) as path from pages)
     ),
     "failed_batches": """select count(*) as prompts, count(*) filter (length(text) % 3 = 0) as failed from documents""",
     "stream_training_log": _with(TRAINING_LOG, _BEST),
+    "stream_bounded": _with(TRAINING_LOG, _ALL_METRICS),
     "stream_scores": _with(
         SCORED,
         """select count(*) as n, sum(exact_match::int)::bigint as em, sum(exact_match_ci::int)::bigint as em_ci,

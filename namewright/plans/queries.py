@@ -820,6 +820,23 @@ def stream_training_log(spark, sf_dir):
     return jobs.read_latest(spark, f"{folder}/result", best.schema).withColumn("run", _folder_run())
 
 
+def stream_bounded(spark, sf_dir):
+    """A backlog of logs is worked off in batches of a quarter of it at most; more logs come between two runs."""
+    folder = shared_folder(spark, "stream")
+    lines = _training_lines(spark, sf_dir)
+    for part in (0, 1):
+        grown = lines.filter(F.col("part") == part).drop("part")
+        keys = [name for name in grown.columns if name != "value"]
+        grown.write.mode("append").partitionBy(*keys).text(f"{folder}/logs")
+        backlog = grown.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0
+        log = jobs.follow_training_log(
+            spark, f"{folder}/logs", LAYOUTS, bytesPerTrigger=backlog // 4 + 1, untilNow=True
+        )
+        jobs.append_bounded(log, f"{folder}/result", f"{folder}/checkpoint")
+    found = spark.read.schema(log.schema).parquet(f"{folder}/result").withColumn("run", _folder_run())
+    return found.select("run", "step", "metric", "value")
+
+
 def stream_scores(spark, sf_dir):
     files = tables.as_code_files(tables.table_stream(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     rows = tables.prediction_lists(extract.extract_examples(files))
@@ -987,6 +1004,7 @@ QUERIES = {
     "scan_files": scan_files,
     "scan_accounts": scan_counts,
     "stream_training_log": stream_training_log,
+    "stream_bounded": stream_bounded,
     "stream_scores": stream_scores,
     "stream_alignment": stream_alignment,
     "stream_log_errors": stream_log_errors,

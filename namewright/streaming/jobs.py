@@ -17,9 +17,12 @@ from .tail import follow_lines
 ALL_SO_FAR = {"availableNow": True}
 
 
-def follow_training_log(spark: SparkSession, path: str, layouts: list[list[str]]) -> DataFrame:
-    """A stream of long rows from the training logs below ``path``, also from lines appended later."""
-    lines = follow_lines(spark, path).select(run_of_file(F.col("path")).alias("run"), "value")
+def follow_training_log(spark: SparkSession, path: str, layouts: list[list[str]], **options) -> DataFrame:
+    """A stream of long rows from the training logs below ``path``, also from lines appended later.
+
+    ``options`` are those of the line source, such as ``bytesPerTrigger`` and ``untilNow``.
+    """
+    lines = follow_lines(spark, path, **options).select(run_of_file(F.col("path")).alias("run"), "value")
     return training_log_rows(lines, layouts)
 
 
@@ -56,6 +59,19 @@ def append_log_events(log: DataFrame, path: str, checkpoint: str, trigger=ALL_SO
     )
 
 
+def append_bounded(log: DataFrame, path: str, checkpoint: str):
+    """Write all log events of a stream with ``bytesPerTrigger`` and ``untilNow`` to a table, batch by batch, then stop.
+
+    Returns the stopped query. What was appended meanwhile is left to the next call, which goes on at the checkpoint.
+    """
+    query = append_log_events(log, path, checkpoint, {"processingTime": "0 seconds"})
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def on_log_events(log: DataFrame, callback, checkpoint: str, trigger=ALL_SO_FAR):
     """Call ``callback(rows, batch_id)`` with the DataFrame of each batch of events."""
     return (

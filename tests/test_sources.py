@@ -7,7 +7,7 @@ from namewright.operators import ranking
 from namewright.sources import examples, logs, repos, store
 from namewright.sources.files import ingest_status, list_sources, scan_accounts, scan_sources
 from namewright.streaming import jobs
-from namewright.streaming.tail import follow_lines
+from namewright.streaming.tail import LineTailReader, admitted, follow_lines
 
 
 def put(root, path, content):
@@ -200,6 +200,56 @@ def test_a_stream_follows_files_that_grow(spark, tmp_path):
         run(7)
 
 
+def test_shares_of_a_bounded_batch():
+    sizes = {"a": 100, "b": 3, "c": 50, "d": 7}
+    assert admitted({"d": 7}, sizes, 23) == {"a": 10, "b": 3, "c": 10, "d": 7}
+    assert admitted({}, {"a": 5, "b": 5, "c": 5}, 2) == {"a": 1, "b": 1}
+    assert admitted({"a": 5, "gone": 4}, {"a": 4}, 10) == {"a": 4}
+    reached, steps = {}, 0
+    while reached != sizes:
+        after = admitted(reached, sizes, 9)
+        assert 0 < sum(after.values()) - sum(reached.values()) <= 9
+        reached, steps = after, steps + 1
+    assert steps == 18
+
+
+def test_a_bounded_stream_works_off_a_backlog(spark, tmp_path):
+    """Batches are small, restarts go on where the last batch ended, also within a line, and the end is frozen."""
+    source, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+
+    def run(limit):
+        lines = follow_lines(spark, source, bytesPerTrigger=limit, untilNow=True)
+        query = jobs.append_bounded(lines.select("value"), out, checkpoint)
+        batches = {p["batchId"]: p["numInputRows"] for p in query.recentProgress if p["numInputRows"]}
+        return batches, sorted(r.value for r in spark.read.parquet(out).collect())
+
+    first = [f"line {n}" for n in range(20)]
+    put(source, "long", "".join(f"{line}\n" for line in first).encode() + b"begun ")
+    put(source, "short", b"one\n")
+    batches, values = run(48)
+    assert values == sorted([*first, "one"])
+    assert len(batches) >= 4 and max(batches.values()) <= 8
+    with open(os.path.join(source, "long"), "ab") as log:
+        log.write(b"and ended, " + b"x" * 60 + b"\nlast\n")
+    put(source, "new", b"two\nthree\n")
+    want = sorted([*first, "one", "two", "three", "begun and ended, " + "x" * 60, "last"])
+    assert run(40)[1] == want
+    assert run(1 << 20) == ({}, want)
+
+
+def test_a_log_that_goes_with_lines_unread_ends_a_bounded_stream(tmp_path):
+    put(tmp_path, "a", b"one\ntwo\n")
+    reader = LineTailReader(str(tmp_path), 64, 4)
+    offset = reader.latestOffset()
+    assert offset == reader.latestOffset() and list(offset.values()) == [4]
+    reader.partitions({}, offset)
+    (tmp_path / "a").rename(tmp_path / ".a")
+    with pytest.raises(ValueError, match="gone"):
+        reader.latestOffset()
+    with pytest.raises(ValueError):
+        LineTailReader(str(tmp_path), 64, 0)
+
+
 def test_callback_per_batch_of_log_events(spark, tmp_path):
     put(tmp_path / "in", "run1/a.csv", b"0.5,0.1,10\n")
     seen = []
