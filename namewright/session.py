@@ -71,14 +71,14 @@ def scratch(spark: SparkSession, name: str = "scratch"):
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and lets each later pass read
     only the columns it needs. The job runs at once, while the plan around it is
-    still being made; see ``scratch`` for who removes the table.
+    still being made; see ``scratch`` for who removes the table. ``options`` are those of the Parquet writer.
     """
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
