@@ -160,7 +160,7 @@ def pack(pieces: DataFrame, room: int = ROOM, order=("doc_id", "piece")) -> Data
     counts per length (at most ``room``) reach the driver. Each task then looks up where its pieces go, and the
     places are joined to the stored pieces.
     """
-    held = stage(pieces.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
+    held = stage(pieces.withColumn("_piece", F.monotonically_increasing_id()), "pieces", compression="zstd")
     ranked = range_ranked(held.select("length", *order, "_piece"), "length", order, "ranked", "_rank")
     counts = {row.length: row.n for row in ranked.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if counts and not (1 <= min(counts) and max(counts) <= room):
