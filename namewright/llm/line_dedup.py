@@ -8,10 +8,7 @@ from .common import BLANKS, two_hashes, whole_text
 
 MIN_SITES = 10
 SITES_PER_MIN_SITE = 1000
-MIN_WORDS = 3
 LG_REGISTERS = 8
-# Fixed value: a line of at least three words.
-_WORDY = rf"\A[^\x20\x09-\x0D]+(?:[\x20\x09-\x0D]+[^\x20\x09-\x0D]+){{{MIN_WORDS - 1}}}"
 
 
 def _trimmed(line: Column) -> Column:
@@ -76,9 +73,9 @@ def dedup_lines(
 ) -> DataFrame:
     """All rows with all columns as (_doc, text, n_lines, n_removed): ``text`` is without boilerplate lines.
 
-    Lines are cut at \\n and compared without the blanks around them; lines of fewer than three words
-    stay, as short lines meet by chance on many sites. Another line on ``min_sites`` or more different sites (a missing
-    site is none), and on a thousandth of all sites of the table, is boilerplate: it stays in the document with the smallest key that has it and goes
+    Lines are cut at \\n and compared without the blanks around them; lines without a word
+    stay. A line on ``min_sites`` or more different sites (a missing site is none), and on a
+    thousandth of all sites of the table, is boilerplate: it stays in the document with the smallest key that has it and goes
     from all others. So nothing is lost for good, also not a text that was copied to
     many sites. A document without a key is never the first. A missing text stays missing.
     Repeated rows are treated alike; tables without rows give none.
@@ -91,7 +88,7 @@ def dedup_lines(
     named = [F.xxhash64(whole).alias("t1"), F.xxhash64(F.lit(1), whole).alias("t2")]
     lines = stage(
         source.select("doc", "site", *named, F.posexplode(F.split(whole, "\n", -1)).alias("pos", "line"))
-        .filter(_trimmed(F.col("line")).rlike(_WORDY))
+        .filter(_trimmed(F.col("line")) != "")
         .select("doc", "site", "t1", "t2", "pos", *two_hashes(_trimmed(F.col("line")))),
         "lines",
     )

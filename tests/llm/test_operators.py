@@ -155,7 +155,7 @@ def test_line_dedup(docs, rows):
     for key, text, site in rows:
         for line in (text or "").split("\n"):
             bare = line.strip(BLANKS)
-            if len(re.split(r"[\x20\x09-\x0D]+", bare)) >= 3:
+            if bare:
                 sites[bare] |= {site} - {None}
                 first[bare] = min((k for k in (first.get(bare), key) if k is not None), default=None)
     want = Counter()
@@ -170,16 +170,13 @@ def test_line_dedup(docs, rows):
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in cut.collect())
 
 
-def test_line_dedup_keeps_short_lines_and_follows_the_sites(spark, monkeypatch):
-    """Lines of one and two words stay on any number of sites; with more sites the limit rises."""
+def test_line_dedup_cuts_short_lines(spark):
+    """Lines of one and two words are cut like any other; a line on few sites stays."""
     lines = ["With.", "Read more", "All rights are reserved"]
-    rows = [(i, "\n".join([f"own text {i}", *lines, "on few sites only" if i < 12 else "other text here too"]), f"s{i}") for i in range(40)]
+    rows = [(i, "\n".join([f"own text {i}", *lines, "on few sites only" if i < 9 else f"other text {i}"]), f"s{i}") for i in range(40)]
     table = spark.createDataFrame(rows, "doc_id long, text string, source string")
     cut = {r._doc.doc_id: r.text.split("\n")[1:] for r in line_dedup.dedup_lines(table).collect()}
-    assert cut[0] == [*lines, "on few sites only"] and cut[5] == lines[:2] and cut[39] == lines[:2]
-    monkeypatch.setattr(line_dedup, "SITES_PER_MIN_SITE", 2)
-    cut = {r._doc.doc_id: r.text.split("\n")[1:] for r in line_dedup.dedup_lines(table).collect()}
-    assert cut[5] == [*lines[:2], "on few sites only"] and cut[39] == lines[:2]
+    assert cut[0] == [*lines, "on few sites only"] and cut[5] == ["on few sites only"] and cut[39] == ["other text 39"]
 
 
 def test_packing_keeps_any_key(spark):
