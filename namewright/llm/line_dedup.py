@@ -7,7 +7,6 @@ from ..session import stage
 from .common import BLANKS, two_hashes, whole_text
 
 MIN_SITES = 10
-SITES_PER_MIN_SITE = 1000
 LG_REGISTERS = 8
 
 
@@ -45,12 +44,6 @@ def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES, lg: int = LG_REGI
     return stage(sure.unionAll(near.join(exact, ["h1", "h2"])), "boilerplate")
 
 
-def sites_limit(rows: DataFrame) -> int:
-    """A thousandth of the different sites, rounded up."""
-    n_sites = rows.select("site").filter("site is not null").distinct().count()
-    return -(-n_sites // SITES_PER_MIN_SITE)
-
-
 def _without(text: Column, removed: Column) -> Column:
     """Join the lines that stand between the removed places (sorted, from 0)."""
 
@@ -74,8 +67,8 @@ def dedup_lines(
     """All rows with all columns as (_doc, text, n_lines, n_removed): ``text`` is without boilerplate lines.
 
     Lines are cut at \\n and compared without the blanks around them; lines without a word
-    stay. A line on ``min_sites`` or more different sites (a missing site is none), and on a
-    thousandth of all sites of the table, is boilerplate: it stays in the document with the smallest key that has it and goes
+    stay. A line on ``min_sites`` or more different sites (a missing site is none) is
+    boilerplate, however large the table is: it stays in the document with the smallest key that has it and goes
     from all others. So nothing is lost for good, also not a text that was copied to
     many sites. A document without a key is never the first. A missing text stays missing.
     Repeated rows are treated alike; tables without rows give none.
@@ -93,7 +86,7 @@ def dedup_lines(
         "lines",
     )
     removed = (
-        lines.join(spread_lines(lines, max(min_sites, sites_limit(source)), lg), ["h1", "h2"])
+        lines.join(spread_lines(lines, min_sites, lg), ["h1", "h2"])
         .filter(~F.col("doc").eqNullSafe(F.col("first_doc")))
         .groupBy("doc", "t1", "t2")
         .agg(F.sort_array(F.collect_set("pos")).alias("gone"))

@@ -179,6 +179,14 @@ def test_line_dedup_cuts_short_lines(spark):
     assert cut[0] == [*lines, "on few sites only"] and cut[5] == ["on few sites only"] and cut[39] == ["other text 39"]
 
 
+def test_line_dedup_has_one_limit_for_any_number_of_sites(spark):
+    """Ten sites are enough among eleven thousand, and nine are not."""
+    line = F.when(F.col("id") < 10, "on ten sites").when(F.col("id") < 19, "on nine sites").otherwise(F.concat(F.lit("line "), F.col("id").cast("string")))
+    table = spark.range(11_000).select(F.col("id").alias("doc_id"), line.alias("text"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("source"))
+    cut = line_dedup.dedup_lines(table).filter("n_removed > 0")
+    assert sorted(r._doc.doc_id for r in cut.collect()) == list(range(1, 10))
+
+
 def test_packing_keeps_any_key(spark):
     table = spark.createDataFrame([("a", "one text"), (None, "x " * 3000), ("a", None)], "doc_id string, text string")
     packed = packing.pack(packing.token_pieces(table)).collect()
