@@ -31,41 +31,61 @@ def read_ledger(spark: SparkSession, folder: str, key_kind: str) -> DataFrame:
     return rows.filter("predictions is not null").groupBy("key").agg(F.first("predictions").alias("predictions"))
 
 
-def ask(waiting: DataFrame, make_predict, batch_size: int) -> DataFrame:
-    """(key, predictions, error) of rows (key, prompt); at the first failure a task ends with one row that tells it.
+def ask(waiting: DataFrame, make_predict, batch_size: int, portion: int | None = None) -> DataFrame:
+    """(key, predictions, error) of rows (key, prompt); at the first failure a portion ends with one row that tells it.
 
-    What was answered before the failure stays, what comes after it is not asked.
+    A portion is ``portion`` neighbouring rows of a task, or all its rows. What was answered before the
+    failure stays, what comes after it in the portion is not asked.
     """
     token = uuid.uuid4().hex
     kind = waiting.schema["key"].dataType.simpleString()
 
     def run(batches):
-        predict, keys = None, None
+        predict, seen, resume = None, 0, 0  # rows met so far; the row from which on is asked
         for batch in batches:
             keys = batch.schema.field(0).type
             prompts = batch.column(1).to_pylist()
-            answers, failure = [], None
-            for start in range(0, len(prompts), batch_size):
-                part = prompts[start : start + batch_size]
-                try:
-                    predict = predict or made_once(token, make_predict)
-                    found = [list(answer) for answer in predict(part)]
-                    if len(found) != len(part):
-                        raise ValueError(f"{len(found)} answers for {len(part)} prompts")
-                except Exception as error:
-                    failure = f"{type(error).__name__}: {error}"
-                    break
-                answers += found
-            told = [batch.column(0).slice(0, len(answers)), pa.array(answers, pa.list_(pa.string())), pa.nulls(len(answers), pa.string())]
-            yield pa.RecordBatch.from_arrays(told, ["key", "predictions", "error"])
-            if failure:
-                row = [pa.nulls(1, keys), pa.nulls(1, pa.list_(pa.string())), pa.array([failure])]
-                yield pa.RecordBatch.from_arrays(row, ["key", "predictions", "error"])
-                return
+            start = 0
+            while start < len(prompts):
+                left = len(prompts) - start if portion is None else min(len(prompts) - start, portion - (seen + start) % portion)
+                if seen + start < resume:
+                    start += left
+                    continue
+                answers, failure = [], None
+                for at in range(start, start + left, batch_size):
+                    part = prompts[at : min(at + batch_size, start + left)]
+                    try:
+                        predict = predict or made_once(token, make_predict)
+                        found = [list(answer) for answer in predict(part)]
+                        if len(found) != len(part):
+                            raise ValueError(f"{len(found)} answers for {len(part)} prompts")
+                    except Exception as error:
+                        failure = f"{type(error).__name__}: {error}"
+                        break
+                    answers += found
+                told = [batch.column(0).slice(start, len(answers)), pa.array(answers, pa.list_(pa.string())), pa.nulls(len(answers), pa.string())]
+                yield pa.RecordBatch.from_arrays(told, ["key", "predictions", "error"])
+                if failure:
+                    row = [pa.nulls(1, keys), pa.nulls(1, pa.list_(pa.string())), pa.array([failure])]
+                    yield pa.RecordBatch.from_arrays(row, ["key", "predictions", "error"])
+                    if portion is None:
+                        return
+                    resume = ((seen + start) // portion + 1) * portion
+                start += left
+            seen += len(prompts)
 
     return waiting.mapInArrow(run, f"key {kind}, predictions array<string>, error string")
 
 
+def task_rows(spark: SparkSession, n_waiting: int, rows_per_task: int) -> int:
+    """How many rows a Spark task takes: several portions of ``rows_per_task`` where these would be more tasks than pay off.
+
+    Tasks that take more than ``ROWS_PER_TASK`` rows are never made for that, so a job that dies loses no more.
+    """
+    enough = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(rows_per_task, min(ROWS_PER_TASK, -(-n_waiting // enough)))
+
+
 def resumed_inference(
     rows: DataFrame, prompt: Column, make_predict, folder: str, key: str = "sample_id", batch_size: int = 16,
     rows_per_task: int = ROWS_PER_TASK,
@@ -76,6 +96,8 @@ def resumed_inference(
     whose driver or executors die loses the running tasks alone. A model that raises ends its task, not the
     others; their answers are kept, and then ``InferenceStopped`` tells the error. Called again
     with the same folder the job goes on. Rows without a key are never asked and get no answer.
+    Where ``rows_per_task`` would make very many tasks, a task takes several portions of so many rows;
+    then a model that raises ends its portion.
     """
     spark = rows.sparkSession
     kind = rows.schema[key].dataType.simpleString()
@@ -83,10 +105,11 @@ def resumed_inference(
     waiting = asked.join(read_ledger(spark, folder, kind).select("key"), "key", "left_anti")
     n_waiting = waiting.count()
     if n_waiting:
-        tasks = -(-n_waiting // rows_per_task)
+        taken = task_rows(spark, n_waiting, rows_per_task)
+        tasks, portion = -(-n_waiting // taken), rows_per_task if taken > rows_per_task else None
         before = _failures(spark, folder, kind)
         (
-            ask(waiting.repartition(tasks, "key"), make_predict, batch_size)
+            ask(waiting.repartition(tasks, "key"), make_predict, batch_size, portion)
             .withColumn("run", F.lit(uuid.uuid4().hex))
             .write.mode("append")
             .option("mapreduce.fileoutputcommitter.algorithm.version", "2")

@@ -132,6 +132,20 @@ def test_ledger_keeps_whole_tasks_of_a_job_that_was_killed(spark, tmp_path):
     assert len(open(calls).read().split()) == 64 - kept
 
 
+def test_many_small_portions_are_few_tasks(spark, tmp_path):
+    """Two hundred portions are no more than 32 files; a model that raises ends its portion, not the rest of the task."""
+    calls, made, folder = str(tmp_path / "calls"), str(tmp_path / "made"), str(tmp_path / "ledger")
+    table = spark.createDataFrame([(i, f"text{i}") for i in range(2000)], "sample_id long, prompt string")
+    ask = lambda dies: resumed_inference(table, F.col("prompt"), model(calls, made, dies), folder, batch_size=4, rows_per_task=10)
+    with pytest.raises(InferenceStopped, match="gone"):
+        ask(lambda text: text.endswith("00"))
+    assert len([name for name in os.listdir(folder) if name.endswith(".parquet")]) <= 32
+    first = open(calls).read().split()
+    assert 2000 - 20 * 10 <= len(first) < 2000 and not any(text.endswith("00") for text in first)
+    assert ask(lambda text: False).filter("predictions[0] = upper(prompt)").count() == 2000
+    assert Counter(open(calls).read().split()) == Counter(f"text{i}" for i in range(2000))
+
+
 def test_batches_call_the_tokenizer_once_a_row(spark, tmp_path):
     calls = str(tmp_path / "calls")
 
