@@ -2,8 +2,10 @@
 
 from collections.abc import Iterator
 from fnmatch import fnmatchcase
+from itertools import groupby
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -11,6 +13,10 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from .store import LASTING, Store
 
 RANGE_BYTES = 64 << 20
+# A task reads neighbouring ranges up to these bytes, so that small ranges are not a task each.
+_TASK_BYTES = 4 << 20
+# A batch of lines is handed on at so many lines or bytes.
+_BATCH_LINES, _BATCH_BYTES = 10_000, 4 << 20
 _BLOCK = 1 << 16
 
 
@@ -24,7 +30,7 @@ class ByteRange(NamedTuple):
 
 
 class RangePartition(InputPartition):
-    def __init__(self, value: ByteRange):
+    def __init__(self, value: list[ByteRange]):
         self.value = value
 
 
@@ -104,23 +110,43 @@ class NumberedLinesReader(DataSourceReader):
     def partitions(self) -> list[RangePartition]:
         store = Store()
         found = sorted(visible_files(store, *split_pattern(self.path)))
-        return [
-            RangePartition(ByteRange(path, low, min(size, low + self.range_bytes), low + self.range_bytes >= size))
-            for path, size in found
-            for low in range(0, size, self.range_bytes)
-        ] or [RangePartition(ByteRange("", 0, 0, True))]
-
-    def read(self, partition: RangePartition) -> Iterator[tuple]:
-        path, start, stop, last = partition.value
-        if not path:
-            return
-        try:
-            file = Store().open(path)
-        except LASTING as error:
-            raise ValueError(f"{path} has gone before its lines were read") from error
-        with file:
-            for place, (_, line) in enumerate(lines_of_range(file, start, stop, last)):
-                yield path, start // self.range_bytes, place, line.rstrip(b"\r\n").decode("utf-8", "replace")
+        tasks, room = [], 0
+        for path, size in found:
+            for low in range(0, size, self.range_bytes):
+                part = ByteRange(path, low, min(size, low + self.range_bytes), low + self.range_bytes >= size)
+                if part.stop - low > room:
+                    tasks.append([])
+                    room = _TASK_BYTES
+                tasks[-1].append(part)
+                room -= part.stop - low
+        return [RangePartition(parts) for parts in tasks] or [RangePartition([])]
+
+    def read(self, partition: RangePartition) -> Iterator[pa.RecordBatch]:
+        for path, parts in groupby(partition.value, key=lambda part: part.path):
+            try:
+                file = Store().open(path)
+            except LASTING as error:
+                raise ValueError(f"{path} has gone before its lines were read") from error
+            with file:
+                for _, start, stop, last in parts:
+                    number, first, size, values = start // self.range_bytes, 0, 0, []
+                    for place, (_, line) in enumerate(lines_of_range(file, start, stop, last), 1):
+                        values.append(line.rstrip(b"\r\n").decode("utf-8", "replace"))
+                        size += len(line)
+                        if len(values) >= _BATCH_LINES or size >= _BATCH_BYTES:
+                            yield self._batch(path, number, first, values)
+                            first, size, values = place, 0, []
+                    if values:
+                        yield self._batch(path, number, first, values)
+
+    @staticmethod
+    def _batch(path: str, number: int, first: int, values: list[str]) -> pa.RecordBatch:
+        n = len(values)
+        columns = [
+            pa.array([path] * n, pa.string()), pa.array([number] * n, pa.int64()),
+            pa.array(range(first, first + n), pa.int64()), pa.array(values, pa.string()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["path", "range", "place", "value"])
 
 
 def read_lines(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -150,7 +176,7 @@ def records(lines: DataFrame, is_head) -> DataFrame:
     marked = lines.withColumn("_head", F.when(is_head, F.col("line")))
     along = Window.partitionBy("path", "range").orderBy("place")
     inner = marked.withColumn("_inner", F.max("_head").over(along))
-    last = inner.groupBy("path", "range").agg(F.max("_inner").alias("_last"))
+    last = marked.groupBy("path", "range").agg(F.max("_head").alias("_last"))
     earlier = Window.partitionBy("path").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.select("path", "range", F.max("_last").over(earlier).alias("_carried"))
     owned = inner.join(carried, ["path", "range"]).withColumn("record", F.coalesce("_inner", "_carried", -1 - F.col("line")))

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import trim_ws
+from ..session import stage
 from .lines import RANGE_BYTES, number_lines, read_lines, records
 
 # The shape of a log line and of a log file's name.
@@ -97,7 +98,8 @@ def read_log_records(spark: SparkSession, path: str, range_bytes: int = RANGE_BY
     ``record`` is the number of the record's first line, from 0; lines before the first record are rows of their own,
     without time, script and level, numbered downwards from -1.
     """
-    found = records(number_lines(read_lines(spark, path, range_bytes)), F.col("value").rlike(LOG_LINE))
+    lines = stage(read_lines(spark, path, range_bytes), "lines")
+    found = records(number_lines(lines), F.col("value").rlike(LOG_LINE))
     return parse_run_log(found)
 
 

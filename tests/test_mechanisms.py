@@ -188,6 +188,18 @@ def test_lines_are_numbered_for_any_range(spark, tmp_path):
     assert lines.read_lines(spark, str(tmp_path / "run1" / "b*")).collect() == []
 
 
+def test_small_ranges_share_a_task(tmp_path):
+    """Neighbouring ranges of all files are read by one task up to its bytes; large ranges are a task each."""
+    for name in "abc":
+        (tmp_path / f"{name}.log").write_text("a line\n" * 10_000)
+    tasks = lines.NumberedLinesReader(str(tmp_path), 100).partitions()
+    assert len(tasks) == 1 and len(tasks[0].value) == 3 * 700
+    read = [row for batch in lines.NumberedLinesReader(str(tmp_path), 100).read(tasks[0]) for row in batch.to_pylist()]
+    assert len(read) == 30_000 and {row["value"] for row in read} == {"a line"}
+    (tmp_path / "big.log").write_bytes(b"x" * (9 << 20))
+    assert len(lines.NumberedLinesReader(str(tmp_path / "big*"), 3 << 20).partitions()) == 3
+
+
 def test_records_cross_ranges(spark, tmp_path):
     """Tracebacks longer than several ranges, lines before the first head, two files."""
     head = "2024-01-02 03:04:05 - eval - ERROR - failed {}"
