@@ -6,6 +6,7 @@ read by tasks on the executors, from a file system all of them can reach.
 """
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -13,10 +14,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import EXTENSIONS, language_of
 from ..session import stage
-from .store import Store, patiently
+from .store import LASTING, Store, patiently
 
 # Flush a result batch after this many bytes of text.
-_BATCH_BYTES = 32 * 1024 * 1024
+_BATCH_BYTES = 4 * 1024 * 1024
+# A folder's entries are taken up and handed on so many at a time.
+_ENTRIES_PER_BATCH = 10_000
 # A task leaves the folders that are still to be listed to other tasks after this many entries.
 _ENTRIES_AT_ONCE = 10_000
 
@@ -41,22 +44,35 @@ def list_sources(repos: DataFrame, languages=tuple(EXTENSIONS), entries_at_once:
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store = Store()
+
+        def opened(folder):
+            entries = store.entries(folder)
+            return entries, list(islice(entries, _ENTRIES_PER_BATCH))
+
         for batch in batches:
             for row in batch.itertuples(index=False):
                 same = [*(getattr(row, name) for name in keep), row.root]
                 rows, folders, met = [], [row.full_path], 0
                 while folders and met < entries_at_once:
                     folder = folders.pop()
-                    found, error = patiently(lambda folder=folder: list(store.entries(folder)))
+                    found, error = patiently(lambda folder=folder: opened(folder))
+                    entries, block = found or (None, [])
+                    while block:
+                        met += len(block)
+                        for is_folder, path, _ in block:
+                            if is_folder and met < entries_at_once:
+                                folders.append(path)
+                            elif is_folder or path.endswith(endings):
+                                rows.append([*same, path, is_folder, None])
+                        if len(rows) >= _ENTRIES_PER_BATCH:
+                            yield pd.DataFrame(rows, columns=names)
+                            rows = []
+                        try:
+                            block = list(islice(entries, _ENTRIES_PER_BATCH))
+                        except LASTING as lasting:  # what was met before stays
+                            block, error = [], type(lasting).__name__
                     if error:
                         rows.append([*same, folder, False, error])
-                        continue
-                    met += len(found)
-                    for is_folder, path, _ in found:
-                        if is_folder:
-                            folders.append(path)
-                        elif path.endswith(endings):
-                            rows.append([*same, path, False, None])
                 rows += [[*same, folder, True, None] for folder in folders]
                 yield pd.DataFrame(rows, columns=names)
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from namewright.operators import ranking
-from namewright.sources import examples, logs, repos, store
+from namewright.sources import examples, files, logs, repos, store
 from namewright.sources.files import ingest_status, list_sources, scan_accounts, scan_sources
 from namewright.streaming import jobs
 from namewright.streaming.tail import LineTailReader, admitted, follow_lines
@@ -65,6 +65,39 @@ def test_scan_finds_hidden_paths_and_reads_leniently(spark, tmp_path):
     assert status == {("one", "java"): True, ("gone", "java"): False}
 
 
+def test_large_folders_are_listed_in_blocks(spark, tmp_path, monkeypatch):
+    """No frame of a task holds more than a block of a folder's entries; nothing is lost between blocks."""
+    for i in range(95):
+        put(tmp_path, f"one/f{i:02}.py", b"x")
+    put(tmp_path, "one/sub/g.py", b"x")
+    monkeypatch.setattr(files, "_ENTRIES_PER_BATCH", 10)
+    taken = []
+    repos_table = spark.createDataFrame([(0, "one", str(tmp_path / "one"))], "repo_ord bigint, repo string, root string")
+
+    class Seen:
+        """Runs a task's function here, to look at the frames it makes."""
+
+        def __init__(self, frame):
+            self.frame = frame
+
+        def __getattr__(self, name):
+            return getattr(self.frame, name)
+
+        def withColumn(self, *args):
+            return Seen(self.frame.withColumn(*args))
+
+        def repartition(self, *args):
+            return Seen(self.frame)
+
+        def mapInPandas(self, function, schema):
+            taken.extend(len(frame) for frame in function(iter([self.frame.toPandas()])))
+            return self.frame.mapInPandas(function, schema)
+
+    found = list_sources(Seen(repos_table)).filter("error is null").collect()
+    assert sorted(r.path for r in found) == [*(f"f{i:02}.py" for i in range(95)), "sub/g.py"]
+    assert sum(taken) == 96 and max(taken) < 20
+
+
 def test_strict_and_tolerant_scans(spark, tmp_path):
     good = '{"language":"java","repo":"r","path":"p","class_span":{"start":0,"end":5},"source":"é","target":"T"}\n'
     put(tmp_path, "x.jsonl", (good + "\n" + '{"language": "ja\n' + good).encode())
