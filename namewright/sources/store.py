@@ -65,6 +65,21 @@ class Store:
         system.create_dir(base.rsplit("/", 1)[0], recursive=True)
         return system.open_output_stream(base)
 
+    def writes_anywhere(self, path: str) -> bool:
+        """Can tasks write parts of one file side by side?"""
+        return self._plain(path) is not None
+
+    def create_sized(self, path: str, size: int) -> None:
+        """A new file of ``size`` bytes for ``update``."""
+        with self.create(path) as file:
+            file.truncate(size)
+
+    def update(self, path: str, at: int):
+        """An existing file for writing from byte ``at`` on; not on every file system, see ``writes_anywhere``."""
+        file = os.fdopen(os.open(self._plain(path), os.O_WRONLY), "wb")
+        file.seek(at)
+        return file
+
     def write(self, path: str, content: bytes) -> None:
         """Write a file, with the folders it lies in."""
         with self.create(path) as file:

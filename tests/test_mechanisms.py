@@ -283,3 +283,26 @@ def test_flat_sink_leaves_nothing_after_a_failure(spark, tmp_path, bad):
     assert os.listdir(tmp_path) == ["old"] and sorted(os.listdir(tmp_path / "old")) == ["java", "python"]
     flat.write_flat(table.limit(0), str(tmp_path / "none"))
     assert os.listdir(tmp_path / "none") == []
+
+
+def test_flat_sink_sorts_a_target_in_many_tasks(spark, tmp_path, monkeypatch):
+    """One target of 8 MB: no task gets most of it, and its slices make one file in order."""
+    rows = spark.range(8000).select(
+        F.lit("java").alias("language"), F.lit("r").alias("repo"), F.format_string("p%05d", "id").alias("path"),
+        F.expr("named_struct('start', id, 'end', id + 5)").alias("class_span"), F.expr("array_join(transform(sequence(0, 29), k -> md5(cast(id * 30 + k as string))), '')").alias("source"),
+        F.lit("N").alias("target"), F.lit("train").alias("split"),
+    )
+    parts = []
+    made = flat._put_together
+    monkeypatch.setattr(flat, "_put_together", lambda spark, targets: (parts.extend(p for ps in targets.values() for p in ps), made(spark, targets)))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        flat.write_flat(rows, str(tmp_path / "data"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    told = [json.loads(line)["path"] for line in open(tmp_path / "data/java/train.jsonl")]
+    assert told == [f"p{i:05}" for i in range(8000)] and len(parts) > 2
+    assert max(part.size for part in parts) < sum(part.size for part in parts) / 2
+    assert flat.slices([flat.Part("a", "b", 0, "x", 5), flat.Part("a", "b", 1, "y", 7)], 4) == [
+        (0, [("x", 0, 4)]), (4, [("x", 4, 5), ("y", 0, 3)]), (8, [("y", 3, 7)]),
+    ]
