@@ -18,7 +18,7 @@ def line_dedup(spark, docs, sf_dir):
 
 
 def near_copies(spark, docs, sf_dir):
-    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more, by SimHash and MinHash."""
     return drop_near_copies(docs)
 
 

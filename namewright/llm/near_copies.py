@@ -1,4 +1,4 @@
-"""Near copies by the Jaccard similarity of five-word shingles: MinHash candidates, verified exactly."""
+"""Near copies by the Jaccard similarity of five-word shingles: SimHash and MinHash candidates, verified exactly."""
 
 import numpy as np
 import pyarrow as pa
@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .common import two_hashes, whole_text
 from .components import components
+from .simhash import BITS, SHINGLES_AT_ONCE, linked_fingerprints, majority, votes_of
 
 WIDTH = 5
 PERCENT = 80
 BANDS, ROWS = 20, 5
 SMALL_BUCKET = 32
+DIFFERING_BITS = 2
 SEED = 42
 HASHES_AT_ONCE = 1 << 12
 BROADCAST_ROWS = 1 << 20
@@ -55,19 +57,30 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
 
 
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """The SimHash of a shingle set; that of no shingles is 0."""
+    votes = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(hashes), SHINGLES_AT_ONCE):
+        votes += votes_of(hashes[at : at + SHINGLES_AT_ONCE])
+    return majority(votes, len(hashes))
+
+
 def sketch_column(text: str, width: int = WIDTH):
-    """(digest, n, bands) of a text column: 128 bits that name the shingle set, its size and its band keys."""
+    """(digest, n, fp, bands) of a text column: 128 bits that name the shingle set, its size, its SimHash and its band keys."""
 
-    @F.arrow_udf("struct<digest: binary, n: long, bands: array<long>>")
+    @F.arrow_udf("struct<digest: binary, n: long, fp: long, bands: array<long>>")
     def of_batch(texts: pa.Array) -> pa.Array:
-        digests, sizes, bands = [], [], []
+        digests, sizes, prints, bands = [], [], [], []
         for raw in texts:
             hashes = shingle_set(raw.as_py(), width)
             digests.append(xxhash.xxh3_128_digest(hashes.tobytes()))
             sizes.append(len(hashes))
+            prints.append(set_fingerprint(hashes))
             bands.append(band_keys(hashes))
-        columns = [pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-        return pa.StructArray.from_arrays(columns, ["digest", "n", "bands"])
+        columns = [
+            pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(bands, pa.list_(pa.int64())),
+        ]
+        return pa.StructArray.from_arrays(columns, ["digest", "n", "fp", "bands"])
 
     return of_batch(whole_text(text).cast("binary"))
 
@@ -125,6 +138,22 @@ def candidates(met: DataFrame, percent: int = PERCENT, small_bucket: int = SMALL
     return _ordered(within.unionAll(around).filter(_fits(percent) & (F.col("x.node") != F.col("y.node"))))
 
 
+def simhash_candidates(sets: DataFrame, percent: int = PERCENT, most: int = DIFFERING_BITS) -> DataFrame:
+    """Pairs (a, b), a < b, of ``sets`` (node, n, fp) by op6's operator, if their sizes allow the similarity.
+
+    The sets of one fingerprint meet the first of them; the first ones of fingerprints that differ
+    in at most ``most`` bits meet as ``linked_fingerprints`` links them.
+    """
+    member = F.struct("node", "n")
+    homes = stage(sets.groupBy("fp").agg(F.min(member).alias("home"), F.count("*").alias("size")), "homes")
+    crowds = homes.filter("size > 1").select("fp", F.col("home").alias("y"))
+    same = sets.join(crowds, "fp").select(member.alias("x"), "y").filter("x.node <> y.node")
+    links = stage(linked_fingerprints(homes.select("fp"), most), "links")
+    x, y = homes.select(F.col("fp").alias("a"), F.col("home").alias("x")), homes.select(F.col("fp").alias("b"), F.col("home").alias("y"))
+    near = links.join(x, "a").join(y, "b").select("x", "y")
+    return _ordered(same.unionAll(near).filter(_fits(percent)))
+
+
 def mixed_crowds(met: DataFrame, roots: DataFrame, small_bucket: int = SMALL_BUCKET) -> DataFrame:
     """(node, n, part) of all members of crowded buckets that still hold several components; ``part`` names the component."""
     crowded = met.filter(F.col("size") > small_bucket)
@@ -194,7 +223,7 @@ def _same(left: str, right: str):
 def linked_sets(sets: DataFrame, whole: DataFrame, percent: int, width: int, small_bucket: int) -> DataFrame:
     """(node, root) of all sets that are linked, but the roots; ``whole`` has the texts (key, h1, h2, text) of the sets' first rows."""
     met = bucket_members(sets)
-    pairs = stage(candidates(met, percent, small_bucket), "pairs")
+    pairs = stage(simhash_candidates(sets, percent).unionAll(candidates(met, percent, small_bucket)).distinct(), "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     first = sets.join(needed, "node", "left_semi").select("node", *[F.col(f"first.{c}").alias(f"f_{c}") for c in ("key", "h1", "h2")])
     texts = whole.withColumnsRenamed({c: f"w_{c}" for c in ("key", "h1", "h2")}).join(_few(stage(first, "needed")), _same("w_", "f_"))
@@ -218,8 +247,9 @@ def drop_near_copies(
 
     Two rows are linked if the sets of their word shingles are equal or have a Jaccard
     similarity of at least ``percent`` hundredths. Equal sets are one node, so a text that
-    fills a third of the table takes part once. No link is made that the whole sets
-    don't confirm. A missing text is empty; texts without words are equal. Of rows that
+    fills a third of the table takes part once. Pairs are found by SimHash, as in op6 but on these
+    shingles, and, as copies of this similarity mostly differ in more bits than an index of 64-bit
+    fingerprints can bridge, by MinHash besides. No link is made that the whole sets don't confirm. A missing text is empty; texts without words are equal. Of rows that
     tie, also of repeated rows, exactly one stays. Rows are named by key and 128 hash bits of the text;
     documents are read where their text is needed and else pass by the narrow tables, and in the
     end only the names of dropped and of repeated rows are joined to them.
@@ -229,7 +259,7 @@ def drop_near_copies(
     sketched = named.select("key", "h1", "h2", sketch_column("text", width).alias("_sketch"))
     marked = stage(sketched.select("key", "h1", "h2", "_sketch.*"), "marked")
     order = F.struct(F.col("key").isNull().alias("none"), "key", "h1", "h2")
-    grouped = marked.groupBy("digest").agg(F.any_value("n").alias("n"), F.any_value("bands").alias("bands"), F.min(order).alias("first"))
+    grouped = marked.groupBy("digest").agg(F.any_value("n").alias("n"), F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.min(order).alias("first"))
     sets = stage(grouped.withColumn("node", F.monotonically_increasing_id()), "sets")
     roots = linked_sets(sets, named.select("key", "h1", "h2", "text"), percent, width, small_bucket)
     in_group = sets.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(

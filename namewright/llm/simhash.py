@@ -19,6 +19,17 @@ SMALL_BUCKET = 64
 SHINGLES_AT_ONCE = 1 << 16
 
 
+def votes_of(hashes: np.ndarray) -> np.ndarray:
+    """How many of the 64-bit hashes have each bit set."""
+    bits = np.unpackbits(hashes.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64)
+
+
+def majority(votes: np.ndarray, n: int) -> int:
+    """The fingerprint, as a signed long: the bits that over half of ``n`` hashes have set."""
+    return int(np.packbits(2 * votes > n, bitorder="little").view("<i8")[0])
+
+
 def fingerprint(raw: bytes, width: int = 3) -> int:
     """SimHash of the word shingles of a text in UTF-8; a text without words has 0.
 
@@ -35,10 +46,8 @@ def fingerprint(raw: bytes, width: int = 3) -> int:
     digest, votes = xxhash.xxh64_intdigest, np.zeros(BITS, dtype=np.int64)
     for at in range(0, n, SHINGLES_AT_ONCE):
         stop = min(n, at + SHINGLES_AT_ONCE)
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at:stop], ends[at:stop])], dtype="<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        votes += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * votes > n, bitorder="little").view("<i8")[0])
+        votes += votes_of(np.array([digest(joined[a:b], SEED) for a, b in zip(starts[at:stop], ends[at:stop])], dtype="<u8"))
+    return majority(votes, n)
 
 
 def fingerprint_column(text: str, width: int = 3):

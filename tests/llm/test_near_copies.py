@@ -134,3 +134,19 @@ def test_pipeline_stage_drops_near_copies(spark):
     want = brute_first_keys(rows)
     assert 10**6 in want and 10**6 + 1 not in want
     assert sorted(r.doc_id for r in kept) == want
+
+
+def test_pipeline_stage_links_by_simhash(spark, monkeypatch):
+    """Near copies whose fingerprints are near are found without any MinHash band; others that are near by chance are not dropped."""
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(500)]
+    texts = []
+    for _ in range(6):
+        base = [draw.choice(words) for _ in range(1500)]
+        texts += [" ".join(base), " ".join([*base, "end"]), " ".join(["start", *base])]
+    prints = [near_copies.set_fingerprint(near_copies.shingle_set(text.encode())) for text in texts]
+    assert all(bin((prints[i] ^ prints[i + k]) % (1 << 64)).count("1") <= 2 for i in range(0, 18, 3) for k in (1, 2))
+    monkeypatch.setattr(near_copies, "candidates", lambda met, *_: spark.createDataFrame([], "a long, b long"))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    stage = dict(corpus_pipeline.STAGES)["near_copies"]
+    assert sorted(r.doc_id for r in stage(spark, table, DATA).collect()) == list(range(0, 18, 3)) == brute_first_keys(list(enumerate(texts)))
